@@ -145,7 +145,7 @@ check(
 
 def _sub_index_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = sensor(spark, sf_dir).readings
-    made = [index.sub_index(F.col(p), BREAKPOINTS[p]).alias(f"SI_{p}") for p in INDEX_POLLUTANTS]
+    made = [index.sub_index(p, BREAKPOINTS[p]).alias(f"SI_{p}") for p in INDEX_POLLUTANTS]
     return df.select("event_id", *made)
 
 
@@ -361,14 +361,14 @@ check(
 
 
 def _histogram_oracle(source: str, keys: list[str], value: str, bins: int, where: str = "TRUE") -> str:
-    """CTEs ``vals`` .. ``hist`` of a histogram per key (or of everything)."""
+    """CTEs ``vals`` .. ``binned`` of a histogram per key (or of everything)."""
     k = ", ".join(keys)
     sel = f"{k}, " if keys else ""
     using = f"JOIN rng USING ({k})" if keys else "CROSS JOIN rng"
     grp = f" GROUP BY {k}" if keys else ""
     return f"""vals AS (SELECT {sel}{value} AS v FROM {source} WHERE {value} IS NOT NULL AND {where}),
 rng AS (SELECT {sel}min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / CAST({bins} AS DOUBLE) AS w, count(*) AS n FROM vals{grp}),
-hist AS (SELECT {sel}CAST(coalesce(least(floor((v - lo) / nullif(w, 0)), {bins - 1}), 0) AS INTEGER) AS Bin, count(*) AS Count,
+binned AS (SELECT {sel}CAST(coalesce(least(floor((v - lo) / nullif(w, 0)), {bins - 1}), 0) AS INTEGER) AS Bin, count(*) AS Count,
     any_value(lo) AS lo, any_value(w) AS w, any_value(n) AS n FROM vals {using} GROUP BY ALL)"""
 
 
@@ -376,7 +376,7 @@ def _hist_select(keys: list[str], more: str = "") -> str:
     sel = "".join(f"{k}, " for k in keys)
     return (
         f" SELECT {sel}Bin, round(lo + w * Bin, 8) AS BinLow, round(lo + w * (Bin + 1), 8) AS BinHigh, Count, "
-        f"round(Count / nullif(n * w, 0), 8) AS Density{more} FROM hist"
+        f"round(Count / nullif(n * w, 0), 8) AS Density{more} FROM binned"
     )
 
 
@@ -684,7 +684,7 @@ check(
     "ml_score",
     _trained(ml.LINEAR, lambda m, train, test: ml.score(m, test, ml.LINEAR).select(
         *IDS, "AQI_Final", F.round("Pred_Linear_Regression", 2).alias("Pred_Linear_Regression"),
-        index.forecast_category(F.round("Pred_Linear_Regression", 2)).alias("Category"))),
+        index.forecast_category("Pred_Linear_Regression").alias("Category"))),
 )
 check(
     "ml_importance",

@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 from ..constants import BURN_WINDOW, CROP_BURNING_MONTHS, SEASON_CODES, SEASONS
 
 
-def season(month: Column) -> Column:
-    expr = F
-    for name, months in SEASONS.items():
-        expr = expr.when(month.isin(*months), F.lit(name))
-    return expr
+def _season_case(month: str) -> str:
+    arms = " ".join(
+        f"WHEN {month} IN ({', '.join(map(str, months))}) THEN '{name}'"
+        for name, months in SEASONS.items()
+    )
+    return f"CASE {arms} END"
 
 
-def season_code(name: Column) -> Column:
-    expr = F
-    for label, code in SEASON_CODES.items():
-        expr = expr.when(name == label, F.lit(code))
-    return expr
+def season(month: str) -> Column:
+    """Season name of a month column."""
+    return F.expr(_season_case(f"`{month}`"))
+
+
+def season_code(season: str) -> Column:
+    """Code of a season-name column."""
+    arms = " ".join(f"WHEN `{season}` = '{n}' THEN {code}" for n, code in SEASON_CODES.items())
+    return F.expr(f"CASE {arms} END")
 
 
 def crop_burning(month: Column, state: Column, states: tuple[str, ...]) -> Column:
@@ -40,17 +45,18 @@ def in_burn_window(moment: Column, years: tuple[int, int] | None = None) -> Colu
     return F.coalesce(inside, F.lit(False)).cast("int")
 
 
-def calendar_parts(moment: Column) -> dict[str, Column]:
-    weekday = F.weekday(moment)
-    return {
-        "Year": F.year(moment),
-        "Month": F.month(moment),
-        "Day": F.dayofmonth(moment),
-        "Hour": F.hour(moment),
-        "DayOfWeek": weekday,
-        "IsWeekend": weekday.isin(5, 6).cast("int"),
-        "Season": season(F.month(moment)),
+def calendar_parts(moment: str) -> dict[str, Column]:
+    """Calendar columns of a timestamp column; Monday is day 0."""
+    text = {
+        "Year": f"year({moment})",
+        "Month": f"month({moment})",
+        "Day": f"dayofmonth({moment})",
+        "Hour": f"hour({moment})",
+        "DayOfWeek": f"weekday({moment})",
+        "IsWeekend": f"CAST(weekday({moment}) IN (5, 6) AS INT)",
+        "Season": _season_case(f"month({moment})"),
     }
+    return {name: F.expr(t) for name, t in text.items()}
 
 
 def cyclic(value: Column, period: int) -> tuple[Column, Column]:
@@ -58,8 +64,10 @@ def cyclic(value: Column, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def second_of_time(moment: Column) -> Column:
-    """Seconds since 1970 of a zone-free timestamp, never decreasing in time."""
-    days = F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date"))
-    seconds = (F.hour(moment) * 60 + F.minute(moment)) * 60
-    return days * F.lit(86400.0) + seconds + F.date_part(F.lit("SECOND"), moment).cast("double")
+def second_of_time(moment: str) -> Column:
+    """Seconds since 1970 of a zone-free timestamp column, never decreasing in time."""
+    return F.expr(
+        f"datediff(CAST({moment} AS DATE), DATE'1970-01-01') * 86400.0D"
+        f" + (hour({moment}) * 60 + minute({moment})) * 60"
+        f" + CAST(extract(SECOND FROM {moment}) AS DOUBLE)"
+    )

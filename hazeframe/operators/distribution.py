@@ -17,6 +17,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import mean_of, scaled
+
 ALL = "_all"  # key of the single group of an ungrouped statistic
 _BUCKETS_PER_E = 256
 
@@ -40,12 +42,23 @@ def value_counts(
 
     Null values and rows with a null key do not take part.
     """
-    known = df.where(F.col(value).isNotNull())
-    for k in keys:
-        known = known.where(F.col(k).isNotNull())
-    return known.groupBy(*keys, bucket(F.col(value)).alias("_b"), F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    # Counting the value and asking for a positive count keeps nulls out without
+    # a test on the value: Spark would copy its whole computation into a filter.
+    rows = df.dropna(how="any", subset=list(keys)) if keys else df
+    rows = rows.select(*keys, bucket(F.col(value)).alias("_b"), F.col(value).alias("_v"))
+    return rows.groupBy(*keys, "_b", "_v").agg(F.count("_v").alias("_n")).where("_n > 0")
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Equi-join on group columns, written null-safe.
+
+    A plain join adds null tests below one of its sides; the counts read on both
+    sides would then differ and be computed twice.
+    """
+    names = {k: f"_right{i}" for i, k in enumerate(keys)}
+    other = right.withColumnsRenamed(names)
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(other, same).drop(*names.values())
 
 
 def _keyed(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -58,7 +71,7 @@ def at_positions(
     """Values at 0-based positions of the sorted group.
 
     ``positions`` maps an output name to a function of the group size.  Result:
-    keys, ``_N`` and one column per name; null for a position outside the group.
+    keys, ``_rows`` and one column per name; null for a position outside the group.
     """
     counts, group = _keyed(counts, keys)
     totals = counts.groupBy(*group, "_b").agg(F.sum("_n").alias("_m"))
@@ -69,29 +82,29 @@ def at_positions(
         "_b",
         (F.sum("_m").over(run) - F.col("_m")).alias("_start"),
         F.sum("_m").over(run).alias("_end"),
-        F.sum("_m").over(whole).alias("_N"),
+        F.sum("_m").over(whole).alias("_rows"),
     )
-    wanted = [f(F.col("_N")).cast("bigint") for f in positions.values()]
+    wanted = [f(F.col("_rows")).cast("bigint") for f in positions.values()]
     holds = F.lit(False)
     for p in wanted:
         holds = holds | ((p >= F.col("_start")) & (p < F.col("_end")))
-    targets = totals.where(holds).select(*group, "_b", "_start", "_N")
+    targets = totals.where(holds).select(*group, "_b", "_start", "_rows")
     inside = Window.partitionBy(*group, "_b").orderBy("_v")
-    placed = counts.join(targets, [*group, "_b"]).withColumn(
+    placed = join_groups(counts, targets, [*group, "_b"]).withColumn(
         "_hi", F.col("_start") + F.sum("_n").over(inside)
     )
     picks = [
         F.max(F.when((p >= F.col("_hi") - F.col("_n")) & (p < F.col("_hi")), F.col("_v"))).alias(n)
         for n, p in zip(positions, wanted, strict=True)
     ]
-    picked = placed.groupBy(*group).agg(F.max("_N").alias("_N"), *picks)
+    picked = placed.groupBy(*group).agg(F.max("_rows").alias("_rows"), *picks)
     return picked if keys else picked.drop(ALL)
 
 
 def quantiles_of(
     counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float], digits: int | None = None
 ) -> DataFrame:
-    """Linearly interpolated quantiles from ``value_counts``; also ``_N``."""
+    """Linearly interpolated quantiles from ``value_counts``; also ``_rows``."""
     positions = {}
     for name, p in probs.items():
         positions[f"_lo_{name}"] = lambda n, p=p: F.floor((n - 1) * F.lit(p))
@@ -100,17 +113,44 @@ def quantiles_of(
     out = []
     for name, p in probs.items():
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        at = (F.col("_N") - 1) * F.lit(p)
+        at = (F.col("_rows") - 1) * F.lit(p)
         q = lo + (hi - lo) * (at - F.floor(at))
         out.append((F.round(q, digits) if digits is not None else q).alias(name))
-    return found.select(*keys, "_N", *out)
+    return found.select(*keys, "_rows", *out)
+
+
+def moments_of(counts: DataFrame, keys: Sequence[str], digits: int = 2) -> DataFrame:
+    """Mean, sample deviation, extremes and rows of values with few decimals.
+
+    Sums run over whole numbers, the squares as decimals: no order of additions
+    shows in the result.
+    """
+    whole, n = scaled(F.col("_v"), digits), F.col("_n")
+    square = (whole.cast("decimal(19,0)") * whole).cast("decimal(27,0)") * n.cast("decimal(11,0)")
+    sums = counts.groupBy(*keys).agg(
+        F.sum("_n").alias("Count"),
+        F.sum(whole * n).alias("_s1"),
+        F.sum(square).cast("double").alias("_s2"),
+        F.min("_v").alias("Min"),
+        F.max("_v").alias("Max"),
+    )
+    rows, total, unit = F.col("Count").cast("double"), F.col("_s1").cast("double"), float(10**digits)
+    spread = F.greatest(F.col("_s2") - total * total / rows, F.lit(0.0))
+    return sums.select(
+        *keys,
+        mean_of(F.col("_s1"), F.col("Count"), digits).alias("Mean"),
+        (F.sqrt(spread / F.nullif(rows - 1, F.lit(0.0))) / unit).alias("Std"),
+        "Min",
+        "Max",
+        "Count",
+    )
 
 
 def quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
     digits: int | None = None,
 ) -> DataFrame:
-    return quantiles_of(value_counts(df, keys, value), keys, probs, digits).drop("_N")
+    return quantiles_of(value_counts(df, keys, value), keys, probs, digits).drop("_rows")
 
 
 def median(
@@ -131,8 +171,8 @@ def box(counts: DataFrame, keys: Sequence[str], digits: int | None = 6) -> DataF
     inside = (v >= low) & (v <= high)
     notch = 1.57 * (F.col("Q3") - F.col("Q1")) / F.sqrt(F.col("Count"))
     stats = (
-        counts.join(quarts, list(keys))
-        .groupBy(*keys, "Q1", "Median", "Q3", F.col("_N").alias("Count"))
+        join_groups(counts, quarts, keys)
+        .groupBy(*keys, "Q1", "Median", "Q3", F.col("_rows").alias("Count"))
         .agg(
             F.min(F.when(inside, v)).alias("WhiskerLow"),
             F.max(F.when(inside, v)).alias("WhiskerHigh"),
@@ -151,10 +191,15 @@ def trim_counts(
     The cap comes from the counts as well, so the rows are read once.
     """
     pooled = counts.groupBy(*within, "_b", "_v").agg(F.sum("_n").alias("_n"))
-    cap = quantiles_of(pooled, within, {"_cap": prob}).drop("_N")
+    cap = quantiles_of(pooled, within, {"_cap": prob}).drop("_rows")
     if within:
-        return counts.join(cap, list(within)).where(F.col("_v") <= F.col("_cap")).drop("_cap")
-    return counts.where(F.col("_v") <= cap.scalar())
+        capped = join_groups(counts, cap, within)
+    else:
+        capped = counts.withColumn("_cap", cap.scalar())
+    # Tied to the count, the test stays above the aggregate: pushed below it, the
+    # capped counts would no longer be the counts the cap was taken from.
+    below = (F.col("_v") <= F.col("_cap")).cast("int")
+    return capped.where(F.col("_n") * below > 0).drop("_cap")
 
 
 def trim_above(df: DataFrame, value: str, prob: float = 0.99) -> DataFrame:
@@ -254,7 +299,7 @@ def _with_summary(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _attach(counts: DataFrame, per_group: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Join one struct per group; a single group is a scalar subquery, no join."""
     if keys:
-        return counts.join(per_group, list(keys))
+        return join_groups(counts, per_group, keys)
     return counts.withColumn(name, per_group.select(name).scalar())
 
 
@@ -264,6 +309,11 @@ def _round(df: DataFrame, cols: Sequence[str], digits: int | None) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Correlation aggregate, null for a constant side (``corr`` would raise)."""
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def correlations(
     df: DataFrame, cols: Sequence[str], digits: int | None = 6
 ) -> DataFrame:
@@ -273,13 +323,13 @@ def correlations(
     """
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
     values = [
-        F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
+        pearson(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
         for a, b in pairs
     ]
     one = df.agg(*[v.alias(f"_c{i}") for i, v in enumerate(values)])
     rows = F.array(
         *[
-            F.struct(F.lit(a).alias("ColA"), F.lit(b).alias("ColB"), F.nanvl(f"_c{i}", F.lit(None)).alias("Corr"))
+            F.struct(F.lit(a).alias("ColA"), F.lit(b).alias("ColB"), F.col(f"_c{i}").alias("Corr"))
             for i, (a, b) in enumerate(pairs)
         ]
     )

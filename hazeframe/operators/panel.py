@@ -6,6 +6,7 @@ All frames count rows of one series, not hours: a missing hour is not bridged.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -42,23 +43,51 @@ def fill(
     return segments.drop_extra(df.withColumns(filled))
 
 
-def rolling_mean(
-    col: str, window: WindowSpec, rows: int, min_rows: int, digits: int | None = DEFAULT_DIGITS
-) -> Column:
-    """Mean of the last ``rows`` rows, null with fewer than ``min_rows`` known.
+class Roll(NamedTuple):
+    """A rolling statistic: null with fewer than ``min_rows`` known values."""
 
-    The sum runs over whole numbers, so the mean does not depend on the engine's
-    order of additions; ``digits=None`` is the plain average.
-    """
-    frame = window.rowsBetween(1 - rows, Window.currentRow)
-    known = F.count(col).over(frame)
-    total = F.sum(F.col(col) if digits is None else scaled(F.col(col), digits)).over(frame)
-    return F.when(known >= min_rows, mean_of(total, known, digits))
+    column: str
+    rows: int
+    min_rows: int
+    how: str = "mean"
 
 
-def rolling_max(col: str, window: WindowSpec, rows: int, min_rows: int) -> Column:
-    frame = window.rowsBetween(1 - rows, Window.currentRow)
-    return F.when(F.count(col).over(frame) >= min_rows, F.max(col).over(frame))
+def rolling(
+    df: DataFrame,
+    window: WindowSpec,
+    rolls: Mapping[str, Roll],
+    digits: int | None = DEFAULT_DIGITS,
+) -> DataFrame:
+    """Add rolling means and maxima over the last rows of a series.
+
+    A moving frame visits every row as often as the frame is long.  Counts, and
+    sums over whole numbers, are exact differences of running totals instead: two
+    passes of constant work per row over the same sorted rows, and a mean that
+    does not depend on the order of additions.  ``digits=None`` is the plain
+    average over a moving frame, for values with any number of decimals.
+    """
+    past = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = {}
+    for col in dict.fromkeys(r.column for r in rolls.values()):
+        totals[f"_known_{col}"] = F.count(col).over(past)
+        if digits is not None and any(r.how == "mean" for r in rolls.values() if r.column == col):
+            totals[f"_total_{col}"] = F.sum(scaled(F.col(col), digits)).over(past)
+
+    def last_rows(total: str, rows: int) -> Column:
+        return F.col(total) - F.lag(total, rows, 0).over(window)
+
+    made = {}
+    for name, r in rolls.items():
+        frame = window.rowsBetween(1 - r.rows, Window.currentRow)
+        known = last_rows(f"_known_{r.column}", r.rows)
+        if r.how == "max":
+            value = F.max(r.column).over(frame)
+        elif digits is None:
+            value = F.avg(r.column).over(frame)
+        else:
+            value = mean_of(last_rows(f"_total_{r.column}", r.rows), known, digits)
+        made[name] = F.when(known >= r.min_rows, value)
+    return df.withColumns(totals).withColumns(made).drop(*totals)
 
 
 def lags(col: str, window: WindowSpec, names: Mapping[str, int]) -> dict[str, Column]:

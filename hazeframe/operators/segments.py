@@ -48,7 +48,7 @@ def _measure(df: DataFrame, name: str) -> Column | None:
     """An order column as a double that never decreases along the order."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
-        return second_of_time(F.col(name))
+        return second_of_time(name)
     if isinstance(kind, (T.TimestampType, T.NumericType)):
         return F.col(name).cast("double")
     return None
@@ -78,6 +78,8 @@ def split_hot(
     the least from the largest value, hence every round makes progress.
     """
     rows = rows or segment_rows(df.sparkSession)
+    if not hot_keys(df, keys, rows):
+        return df
     measures = []
     for name in order:
         value = _measure(df, name)

@@ -32,15 +32,10 @@ def exposures(
     longest = max((e.rows for e in have), default=1)
     df = segments.with_halo(df, KEY, order, [e.pollutant for e in have], longest - 1)
     window = segments.series(df, KEY, order)
-    made = {}
-    for e in EXPOSURES:
-        if e not in have:
-            made[e.column] = F.lit(None).cast("double")
-        elif e.how == "mean":
-            made[e.column] = panel.rolling_mean(e.pollutant, window, e.rows, e.rows // 2, digits)
-        else:
-            made[e.column] = panel.rolling_max(e.pollutant, window, e.rows, e.rows // 2)
-    df = segments.drop_extra(df.withColumns(made))
+    rolls = {e.column: panel.Roll(e.pollutant, e.rows, e.rows // 2, e.how) for e in have}
+    df = segments.drop_extra(panel.rolling(df, window, rolls, digits))
+    absent = {e.column: F.lit(None).cast("double") for e in EXPOSURES if e not in have}
+    df = df.withColumns(absent) if absent else df
     return df if segmented else segments.drop_segments(df)
 
 
@@ -48,9 +43,26 @@ def sub_indices(df: DataFrame) -> DataFrame:
     return df.withColumns(index.sub_indices(df.columns))
 
 
+def with_index(df: DataFrame) -> DataFrame:
+    """Rows that will have an index: a reported one, or an exposure in a band.
+
+    The bands of a pollutant leave no gap, so an exposure from the first edge on
+    has a sub-index.  Asked before the bands are looked up, the test is cheap;
+    on ``AQI_Final`` Spark would copy the whole computation into the filter.
+    """
+    tests = [
+        f"`{e.column}` >= {float(BREAKPOINTS[e.pollutant][0][0])!r}D"
+        for e in EXPOSURES
+        if e.pollutant in df.columns
+    ]
+    if "AQI" in df.columns:
+        tests.append("AQI IS NOT NULL")
+    return df.where(" OR ".join(tests) or "false")
+
+
 def calculated(df: DataFrame) -> DataFrame:
     """``AQI_Calculated``: the worst sub-index of the row."""
-    parts = [F.col(e.index) for e in EXPOSURES if e.index in df.columns]
+    parts = [e.index for e in EXPOSURES if e.index in df.columns]
     return df.withColumn("AQI_Calculated", index.row_max(parts))
 
 
@@ -63,7 +75,7 @@ def final(df: DataFrame) -> DataFrame:
 
 
 def categorise(df: DataFrame) -> DataFrame:
-    return df.withColumn("AQI_Category", index.category(F.col("AQI_Final")))
+    return df.withColumn("AQI_Category", index.category("AQI_Final"))
 
 
 def dominant_pollutant(df: DataFrame) -> DataFrame:
@@ -77,8 +89,8 @@ def calculate(
     segmented: bool = False,
 ) -> DataFrame:
     """The index of every row; rows without any index drop out."""
-    df = calculated(sub_indices(exposures(df, tie, digits, segmented)))
-    return categorise(final(df)).where(F.col("AQI_Final").isNotNull())
+    df = with_index(exposures(df, tie, digits, segmented))
+    return categorise(final(calculated(sub_indices(df))))
 
 
 def breakpoint_table(spark, pollutant: str) -> DataFrame:

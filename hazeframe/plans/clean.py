@@ -51,7 +51,7 @@ def parse_datetime(df: DataFrame) -> DataFrame:
 
 
 def add_calendar(df: DataFrame, region: Region = NORTH_INDIA) -> DataFrame:
-    parts = calendar_parts(F.col("Datetime"))
+    parts = calendar_parts("Datetime")
     df = df.withColumns(parts)
     return df.withColumn("CropBurning", crop_burning(F.col("Month"), F.col("State"), region.burning))
 
@@ -67,7 +67,7 @@ def impute(
     if not segmented:
         df = segments.split_hot(df, KEY, order)
     cols = present(df, POLLUTANTS)
-    df = drop_core_null(clip_negative(panel.fill(df, KEY, order, cols, backward)))
+    df = clip_negative(drop_core_null(panel.fill(df, KEY, order, cols, backward)))
     return df if segmented else segments.drop_segments(df)
 
 

@@ -11,7 +11,7 @@ from ..constants import (
     BURN_CHART_MONTHS, BURN_WINDOW_YEARS, CATEGORIES, CPCB_PM10_LIMIT, CPCB_PM25_LIMIT,
     INDEX_POLLUTANTS, NORTH_INDIA, Region, SEASONS, WHO_PM25_LIMIT,
 )
-from ..functions.calendar import in_burn_window, season_code
+from ..functions.calendar import in_burn_window
 from ..functions.index import category, category_rank
 from ..functions.numeric import exact_mean
 from ..operators import distribution as dist
@@ -30,8 +30,8 @@ def rounded(value: Column, digits: int = DIGITS) -> Column:
 def aqi_histogram(df: DataFrame, bins: int = 60) -> DataFrame:
     """Density histogram of the index, with its mean and median on every row."""
     counts = dist.value_counts(df, (), AQI)
-    middle = dist.quantiles_of(counts, (), {"Median": 0.5}, DIGITS).drop("_N")
-    mean = df.agg(rounded(exact_mean(F.col(AQI))).alias("Mean"))
+    middle = dist.quantiles_of(counts, (), {"Median": 0.5}, DIGITS).drop("_rows")
+    mean = dist.moments_of(counts, ()).select(rounded(F.col("Mean")))
     return dist.histogram(counts, (), bins).withColumns(
         {"Mean": mean.scalar(), "Median": middle.scalar()}
     )
@@ -43,7 +43,7 @@ def aqi_density(df: DataFrame, points: int = 200) -> DataFrame:
 
 def band_shares(df: DataFrame) -> DataFrame:
     """Rows and share of every band of the histogram background."""
-    counts = df.groupBy(category(F.col(AQI)).alias("Band")).agg(F.count(F.lit(1)).alias("Count"))
+    counts = df.groupBy(category(AQI).alias("Band")).agg(F.count(F.lit(1)).alias("Count"))
     counts = counts.where("Band is not null")
     total = F.sum("Count").over(Window.partitionBy())
     return counts.withColumn("Pct", rounded(100 * F.col("Count") / total))
@@ -94,8 +94,8 @@ def _violin(counts: DataFrame, keys: Sequence[str], points: int, cut: float) ->
     curve = dist.density(counts, keys, points, cut)
     quarts = dist.quantiles_of(
         counts, keys, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}, DIGITS
-    ).drop("_N")
-    return curve.join(quarts, list(keys))
+    ).drop("_rows")
+    return dist.join_groups(curve, quarts, keys)
 
 
 def winter_vs_spring_box(df: DataFrame) -> DataFrame:
@@ -151,8 +151,8 @@ def trimmed_summary(df: DataFrame, prob: float = 0.99) -> DataFrame:
     kept = pollutant_counts(df, prob)
     middle = dist.quantiles_of(kept, ["Pollutant"], {"Median": 0.5}, DIGITS)
     top = kept.groupBy("Pollutant").agg(F.max("_v").alias("Largest"))
-    out = middle.join(top, "Pollutant")
-    return out.select("Pollutant", F.col("_N").alias("Kept"), rounded(F.col("Largest")).alias("Largest"), "Median")
+    out = dist.join_groups(middle, top, ["Pollutant"])
+    return out.select("Pollutant", F.col("_rows").alias("Kept"), rounded(F.col("Largest")).alias("Largest"), "Median")
 
 
 def pollutant_histograms(df: DataFrame, bins: int = 50) -> DataFrame:
@@ -187,7 +187,7 @@ def category_share(df: DataFrame, include_empty: bool = True) -> DataFrame:
     total = F.sum("Count").over(Window.partitionBy("State"))
     share = 100 * F.col("Count") / F.nullif(total, F.lit(0))
     return cells.withColumns(
-        {"Pct": rounded(share), "Rank": category_rank(F.col("AQI_Category"))}
+        {"Pct": rounded(share), "Rank": category_rank("AQI_Category")}
     )
 
 
@@ -269,10 +269,6 @@ def yearly_trend(df: DataFrame, min_years: int = 3) -> DataFrame:
     )
 
 
-def season_order(df: DataFrame) -> DataFrame:
-    return df.withColumn("SeasonRank", season_code(F.col("Season")))
-
-
 def run_all(df: DataFrame, region: Region = NORTH_INDIA) -> dict[str, DataFrame]:
     """The table behind every chart, by chart name; nothing runs yet."""
     out = {

@@ -33,10 +33,9 @@ def history(
     halo = max(*LAGS, *(n - 1 for n in ROLLS))
     df = segments.with_halo(df, KEY, order, [TARGET], halo)
     window = segments.series(df, KEY, order)
-    made = panel.lags(TARGET, window, {f"AQI_Lag{n}": n for n in LAGS})
-    for n, least in ROLLS.items():
-        made[f"AQI_Roll{n}"] = panel.rolling_mean(TARGET, window, n, least, digits=2)
-    df = df.withColumns(made)
+    df = df.withColumns(panel.lags(TARGET, window, {f"AQI_Lag{n}": n for n in LAGS}))
+    rolls = {f"AQI_Roll{n}": panel.Roll(TARGET, n, least) for n, least in ROLLS.items()}
+    df = panel.rolling(df, window, rolls, digits=2)
     df = df.withColumns({f"AQI_Delta{n}": F.col(TARGET) - F.col(f"AQI_Lag{n}") for n in DELTAS})
     df = segments.drop_extra(df)
     return df if segmented else segments.drop_segments(df)
@@ -60,14 +59,15 @@ def _ahead(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
 
 def encode_calendar(df: DataFrame, region: Region = NORTH_INDIA) -> DataFrame:
     """Season code and cyclic encodings; missing calendar columns are made."""
-    parts = calendar_parts(F.col("Datetime"))
+    parts = calendar_parts("Datetime")
     wanted = ["Year", "Month", "Hour", "DayOfWeek", "IsWeekend"]
     df = df.withColumns({c: parts[c] for c in wanted if c not in df.columns})
     if "CropBurning" not in df.columns:
         burning = crop_burning(F.col("Month"), F.col("State"), region.burning)
         df = df.withColumn("CropBurning", burning)
-    name = F.col("Season") if "Season" in df.columns else season(F.col("Month"))
-    made = {"Season_Enc": season_code(name)}
+    if "Season" not in df.columns:
+        df = df.withColumn("Season", season("Month"))
+    made = {"Season_Enc": season_code("Season")}
     for label, (col, period) in CYCLES.items():
         made[f"{label}_Sin"], made[f"{label}_Cos"] = cyclic(F.col(col), period)
     return df.withColumns(made)

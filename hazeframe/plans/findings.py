@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import in_burn_window
 from ..functions.numeric import exact_mean
+from ..operators.distribution import pearson
 from . import eda
 from .eda import AQI, rounded
 
@@ -56,7 +57,7 @@ def lag_correlation(df: DataFrame, sources: Sequence[str], target: str, max_days
     return (
         shifted.join(later, "Date")
         .groupBy("LagDays")
-        .agg(F.count(F.lit(1)).alias("Days"), rounded(F.corr("Source", "Later")).alias("Corr"))
+        .agg(F.count(F.lit(1)).alias("Days"), rounded(pearson(F.col("Source"), F.col("Later"))).alias("Corr"))
     )
 
 

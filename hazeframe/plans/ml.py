@@ -52,13 +52,22 @@ def cutoff(df: DataFrame, share: float) -> DataFrame:
 
 def temporal_split(df: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Earlier rows to train, later rows to test; one time is never in both."""
-    at = cutoff(df, 1 - test_size).scalar()
+    # One value, taken now: a literal is pushed down to the scan, and the many
+    # jobs of a training run do not look for it again.
+    at = F.lit(_cutoff_value(df, 1 - test_size))
     return df.where(F.col("Datetime") < at), df.where(F.col("Datetime") >= at)
 
 
+def _cutoff_value(df: DataFrame, share: float):
+    row = cutoff(df, share).first()
+    if row is None:
+        raise ValueError("no rows to split")
+    return row["Cutoff"]
+
+
 def mark_validation(train: DataFrame, share: float = 0.1) -> DataFrame:
     """``Validation`` is true for the last part of the training timeline."""
-    at = cutoff(train, 1 - share).scalar()
+    at = F.lit(_cutoff_value(train, 1 - share))
     return train.withColumn("Validation", F.col("Datetime") >= at)
 
 
@@ -298,13 +307,16 @@ def request_features(requests: DataFrame, region: Region = NORTH_INDIA) -> DataF
     moment = {"Month": month, "Hour": F.col("hour"), "DoW": F.col("dow")}
     for label, (_, period) in CYCLES.items():
         made[f"{label}_Sin"], made[f"{label}_Cos"] = cyclic(moment[label], period)
-    made["Season_Enc"] = F.coalesce(season_code(season(month)), F.lit(0))
+    requests = requests.withColumn("_season", season("month"))
+    made["Season_Enc"] = F.coalesce(season_code("_season"), F.lit(0))
     made["IsWeekend"] = (F.col("dow") >= 5).cast("int")
     made["CropBurning"] = crop_burning(month, state, region.burning)
     made["Year"] = F.lit(REQUEST_YEAR)
     for s in region.states:
         made[state_column(s)] = F.coalesce(state == s, F.lit(False)).cast("int")
-    return requests.select("*", *[c.alias(n) for n, c in made.items()])
+    taken = {n.lower() for n in made}
+    rest = [c for c in requests.columns if c != "_season" and c.lower() not in taken]
+    return requests.select(*rest, *[c.alias(n) for n, c in made.items()])
 
 
 def score_requests(
@@ -314,11 +326,9 @@ def score_requests(
     names = model.stages[0].getInputCols()
     df = request_features(requests, region)
     df = df.withColumns({n: F.lit(0.0) for n in names if n not in df.columns})
-    value = clip(F.col("prediction"), LOW, HIGH)
     out = model.transform(df.na.fill(0.0, names))
-    return out.select(
-        *requests.columns, value.alias("Prediction"), forecast_category(value).alias("Category")
-    )
+    out = out.select(*requests.columns, clip(F.col("prediction"), LOW, HIGH).alias("Prediction"))
+    return out.withColumn("Category", forecast_category("Prediction"))
 
 
 # --- storage ------------------------------------------------------------------
@@ -371,7 +381,7 @@ def run(
 ) -> Run:
     """Split, train the three models, compare, cross-validate and store.
 
-    The model inputs are checkpointed first: training reads them many times.
+    The model inputs are stored first: training reads them many times.
     """
     keys = [c for c in ("StationId", "Datetime") if c not in features]
     cases = complete_cases(df, features, target).select(*keys, *features, target)

@@ -105,13 +105,10 @@ def state_box(df: DataFrame) -> DataFrame:
 
 
 def _summary(df: DataFrame, keys: Sequence[str], with_spread: bool) -> DataFrame:
-    """Statistics to one decimal; the median comes from the value counts."""
-    value = F.col(AQI)
-    aggs = {"Mean": exact_mean(value), "Max": F.max(value), "Count": F.count(value)}
-    if with_spread:
-        aggs |= {"Std": F.stddev_samp(value), "Min": F.min(value)}
-    stats = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
-    joined = stats.join(dist.median(df, keys, AQI, "Median", DIGITS), list(keys))
+    """Statistics to one decimal, all from one table of value counts."""
+    counts = dist.value_counts(df, keys, AQI)
+    middle = dist.quantiles_of(counts, keys, {"Median": 0.5}, DIGITS).drop("_rows")
+    joined = dist.join_groups(dist.moments_of(counts, keys), middle, keys)
     order = ["Mean", "Median", "Std", "Min", "Max"] if with_spread else ["Mean", "Median", "Max"]
     # 9 decimals first: noise of the last bits must not decide a tie
     cut = [round_even(F.round(c, 9), 1).alias(c) for c in order]
@@ -124,7 +121,7 @@ def state_summary(df: DataFrame) -> DataFrame:
 
 def season_state_mean(df: DataFrame) -> DataFrame:
     means = df.groupBy("State", "Season").agg(rounded(exact_mean(F.col(AQI))).alias("Mean"))
-    means = means.withColumn("SeasonRank", season_code(F.col("Season")))
+    means = means.withColumn("SeasonRank", season_code("Season"))
     return means.orderBy("State", "SeasonRank")
 
 

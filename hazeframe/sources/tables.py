@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -148,21 +149,22 @@ def read_results(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.csv(path, header=True, schema=RESULTS)
 
 
-def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage through the reliable checkpoint folder of the cluster."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager)
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the frame to the shared folder and read it back.
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; a local run without it gets a fresh folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="hazeframe-")
-    context.setCheckpointDir(folder)
+    The stored table survives the loss of any executor, is computed once, and
+    later reads prune columns and push filters down.
+    """
+    path = f"{shared_folder(df.sparkSession)}/hazeframe-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a local run without it gets a fresh folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="hazeframe-")
