@@ -54,20 +54,21 @@ def temporal_split(df: DataFrame, test_size: float = 0.2) -> tuple[DataFrame, Da
     """Earlier rows to train, later rows to test; one time is never in both."""
     # One value, taken now: a literal is pushed down to the scan, and the many
     # jobs of a training run do not look for it again.
-    at = F.lit(_cutoff_value(df, 1 - test_size))
+    at = _cutoff_literal(df, 1 - test_size)
     return df.where(F.col("Datetime") < at), df.where(F.col("Datetime") >= at)
 
 
-def _cutoff_value(df: DataFrame, share: float):
-    row = cutoff(df, share).first()
+def _cutoff_literal(df: DataFrame, share: float) -> Column:
+    """The cutoff as text of the column's own type, free of any session zone."""
+    row = cutoff(df, share).select(F.col("Cutoff").cast("string")).first()
     if row is None:
         raise ValueError("no rows to split")
-    return row["Cutoff"]
+    return F.lit(row[0]).cast(df.schema["Datetime"].dataType)
 
 
 def mark_validation(train: DataFrame, share: float = 0.1) -> DataFrame:
     """``Validation`` is true for the last part of the training timeline."""
-    at = F.lit(_cutoff_value(train, 1 - share))
+    at = _cutoff_literal(train, 1 - share)
     return train.withColumn("Validation", F.col("Datetime") >= at)
 
 
