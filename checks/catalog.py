@@ -367,8 +367,10 @@ def _histogram_oracle(source: str, keys: list[str], value: str, bins: int, where
     using = f"JOIN rng USING ({k})" if keys else "CROSS JOIN rng"
     grp = f" GROUP BY {k}" if keys else ""
     return f"""vals AS (SELECT {sel}{value} AS v FROM {source} WHERE {value} IS NOT NULL AND {where}),
-rng AS (SELECT {sel}min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / CAST({bins} AS DOUBLE) AS w, count(*) AS n FROM vals{grp}),
-binned AS (SELECT {sel}CAST(coalesce(least(floor((v - lo) / nullif(w, 0)), {bins - 1}), 0) AS INTEGER) AS Bin, count(*) AS Count,
+rng0 AS (SELECT {sel}min(v) AS lo0, max(v) AS hi0, count(*) AS n FROM vals{grp}),
+rng AS (SELECT {sel}n, CASE WHEN lo0 < hi0 THEN lo0 ELSE lo0 - 0.5 END AS lo,
+    (CASE WHEN lo0 < hi0 THEN hi0 - lo0 ELSE 1 END) / CAST({bins} AS DOUBLE) AS w FROM rng0),
+binned AS (SELECT {sel}CAST(least(floor((v - lo) / w), {bins - 1}) AS INTEGER) AS Bin, count(*) AS Count,
     any_value(lo) AS lo, any_value(w) AS w, any_value(n) AS n FROM vals {using} GROUP BY ALL)"""
 
 
@@ -376,7 +378,7 @@ def _hist_select(keys: list[str], more: str = "") -> str:
     sel = "".join(f"{k}, " for k in keys)
     return (
         f" SELECT {sel}Bin, round(lo + w * Bin, 8) AS BinLow, round(lo + w * (Bin + 1), 8) AS BinHigh, Count, "
-        f"round(Count / nullif(n * w, 0), 8) AS Density{more} FROM binned"
+        f"round(Count / (n * w), 8) AS Density{more} FROM binned"
     )
 
 

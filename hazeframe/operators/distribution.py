@@ -216,11 +216,13 @@ def histogram(
     without a value do not appear.
     """
     ranged = _with_summary(counts, keys)
-    lo, hi = F.col("_s.lo"), F.col("_s.hi")
+    # a single value sits in the middle of a range of width 1
+    pad = F.when(F.col("_s.lo") < F.col("_s.hi"), 0.0).otherwise(0.5)
+    lo, hi = F.col("_s.lo") - pad, F.col("_s.hi") + pad
     width = (hi - lo) / F.lit(float(bins))
-    at = F.least(F.floor((F.col("_v") - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    at = F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1))
     out = (
-        ranged.withColumn("Bin", F.coalesce(at, F.lit(0)).cast("int"))
+        ranged.withColumn("Bin", at.cast("int"))
         .groupBy(*keys, "Bin")
         .agg(F.sum("_n").alias("Count"), F.first("_s").alias("_s"))
     )
@@ -230,7 +232,7 @@ def histogram(
         (lo + width * F.col("Bin")).alias("BinLow"),
         (lo + width * (F.col("Bin") + 1)).alias("BinHigh"),
         "Count",
-        (F.col("Count") / F.nullif(F.col("_s.n") * width, F.lit(0.0))).alias("Density"),
+        (F.col("Count") / (F.col("_s.n") * width)).alias("Density"),
     )
     return _round(out, ["BinLow", "BinHigh", "Density"], digits)
 

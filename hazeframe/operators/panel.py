@@ -71,7 +71,9 @@ def rolling(
     for col in dict.fromkeys(r.column for r in rolls.values()):
         totals[f"_known_{col}"] = F.count(col).over(past)
         if digits is not None and any(r.how == "mean" for r in rolls.values() if r.column == col):
-            totals[f"_total_{col}"] = F.sum(scaled(F.col(col), digits)).over(past)
+            # 0, not null, before the first known value: it is subtracted below
+            whole = F.coalesce(scaled(F.col(col), digits), F.lit(0))
+            totals[f"_total_{col}"] = F.sum(whole).over(past)
 
     def last_rows(total: str, rows: int) -> Column:
         return F.col(total) - F.lag(total, rows, 0).over(window)

@@ -207,23 +207,13 @@ def with_carry(
     by_seg = Window.partitionBy(*keys).orderBy(SEG)
     before = by_seg.rowsBetween(Window.unboundedPreceding, -1)
     whole = by_seg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    known = ends.select(
-        *keys,
-        SEG,
-        F.explode(
-            F.array(
-                F.struct(
-                    F.lit(-1).alias(SIDE),
-                    *[F.last(f"_l_{c}", True).over(before).alias(c) for c in cols],
-                ),
-                F.struct(
-                    F.lit(1).alias(SIDE),
-                    *[F.first(f"_f_{c}", True).over(whole).alias(c) for c in cols],
-                ),
-            )
-        ).alias("_row"),
-    )
-    extra = known.select(*keys, SEG, *[F.col("_row")[c].alias(c) for c in [SIDE, *cols]])
+    known = {f"_l_{c}": F.last(f"_l_{c}", True).over(before) for c in cols}
+    known |= {f"_f_{c}": F.first(f"_f_{c}", True).over(whole) for c in cols}
+    sides = [
+        F.struct(F.lit(side).alias(SIDE), *[F.col(f"{mark}{c}").alias(c) for c in cols])
+        for side, mark in ((-1, "_l_"), (1, "_f_"))
+    ]
+    extra = ends.withColumns(known).select(*keys, SEG, F.inline(F.array(*sides)))
     return _add_side(df, extra)
 
 

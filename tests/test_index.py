@@ -68,6 +68,11 @@ def test_rolling_counts_known_values_and_stays_in_its_station(spark):
     assert got.schema["CO_8h"].dataType.simpleString() == "double"
 
 
+def test_rolling_after_a_start_without_values(spark):
+    got = aqi.exposures(hours(spark, [None] * 3 + [6.0] * 24))
+    assert column(got, "Datetime", "PM25_24h") == [None] * 14 + [6.0] * 13
+
+
 def test_fill_and_core_null(spark):
     df = hours(spark, [None, 3.0, None, -4.0, None]).union(hours(spark, [None, None], station="Z"))
     got = clean.impute(df)

@@ -17,15 +17,15 @@ def write(path, lines):
 @pytest.fixture(scope="module")
 def inputs(tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")
-    lines = ["StationId,Datetime,PM2.5,PM10,NOx,SO2,CO,O3,AQI"]
+    lines = ["StationId,Datetime,PM2.5,PM10,NOx,SO2,NH3,CO,O3,AQI"]
     for s, base in (("D1", 60), ("P1", 30), ("X9", 10)):
         for i in range(24 * 12):
             wave = base + 20 * math.sin(i / 9)
             lines.append(
                 f"{s},2019-10-{1 + i // 24:02d} {i % 24:02d}:00:00,{wave:.2f},{wave * 2:.2f},"
-                f"{base / 2:.2f},,{wave / 50:.2f},{wave:.2f},{'' if i % 5 else round(wave * 2, 1)}"
+                f"{base / 2:.2f},{wave / 4:.2f},{base:.2f},{wave / 50:.2f},{wave:.2f},{'' if i % 5 else round(wave * 2, 1)}"
             )
-    lines += ["D1,2019-10-01 00:00:00,999,,,,,,", "D1,not a date,1,1,1,1,1,1,1", "P1,2019-10-01 03:00:00,NaN,-5,,,,,"]
+    lines += ["D1,2019-10-01 00:00:00,999,,,,,,,", "D1,not a date,1,1,1,1,1,1,1,1", "P1,2019-10-01 03:00:00,NaN,-5,,,,,,"]
     readings = write(folder / "station_hour.csv", lines)
     stations = write(
         folder / "stations.csv",
@@ -59,10 +59,11 @@ def test_batch_run(spark, inputs, tmp_path):
     assert len(done.analyses) == 15
     assert all(not d.isEmpty() for n, d in done.analyses.items() if n != "11_winter_vs_summer")
     stored = tables.read_aqi(spark, f"{out}/aqi")
-    assert stored.count() == done.aqi.count() == 2 * 288
+    # two hours of each station have neither a reported index nor an exposure
+    assert stored.count() == done.aqi.count() == 2 * 286
     assert spark.read.csv(f"{out}/csv/clean", header=True).columns.count("PM2.5") == 1
     again = tables.read_aqi(spark, f"{out}/csv/aqi_clean")
-    assert again.count() == 576 and dict(again.dtypes)["Datetime"] == "timestamp_ntz"
+    assert again.count() == 572 and dict(again.dtypes)["Datetime"] == "timestamp_ntz"
 
     results = tables.read_results(spark, f"{out}/ml_results")
     assert results.count() == 3
@@ -88,7 +89,7 @@ def test_batch_run(spark, inputs, tmp_path):
 def test_rebuild_when_missing(spark, inputs, tmp_path):
     path = f"{tmp_path}/aqi"
     first = batch.load_index_table(spark, path, *inputs)
-    assert first.count() == 576 and tables.exists(spark, path)
+    assert first.count() == 572 and tables.exists(spark, path)
     calls = []
     tables.load_or_build(spark, path, lambda: calls.append(1))
     assert not calls
@@ -121,5 +122,5 @@ def test_station_without_metadata_is_joined_but_not_kept(spark, inputs):
 def test_preview_and_filter(spark, inputs):
     df = aqi.calculate(batch.load_and_preprocess(spark, *inputs))
     assert reports.preview(df, 7).count() == 7
-    assert reports.state_year_filter(df, ["Delhi"], (2019, 2019)).count() == 288
+    assert reports.state_year_filter(df, ["Delhi"], (2019, 2019)).count() == 286
     assert reports.state_year_filter(df, ["Delhi"], (2020, 2021)).isEmpty()
