@@ -557,7 +557,7 @@ def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows with two forecasts that need no model: last value and last mean."""
-    test = ml.temporal_split(_cases(spark, sf_dir))[1]
+    test = ml.temporal_split(tables.checkpoint(_cases(spark, sf_dir)))[1]
     return test.withColumns({"Pred_Last_Value": F.col("AQI_Lag1"), "Pred_Last_Day": F.col("AQI_Lag24")})
 
 
@@ -569,7 +569,7 @@ check(
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = ml.temporal_split(_cases(spark, sf_dir))
+    train, test = ml.temporal_split(tables.checkpoint(_cases(spark, sf_dir)))
     parts = [p.select(*IDS, F.lit(n).alias("Part")) for n, p in (("train", train), ("test", test))]
     return parts[0].unionByName(parts[1])
 
