@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .near_duplicates import near_duplicates
+from .quality_rules import quality_rules
 from .suffix_dedup import remove_repeats
 from .token_output import token_digests
 
@@ -35,6 +36,37 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+ORACLES["op3_quality_rules"] = r"""
+WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM texts),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 4)) AS c FROM words, range(1, len(w) - 3) AS r(i)),
+repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, range(0, 5) AS r(k) WHERE c > 1 GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM words LEFT JOIN repeated USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS soft
+  FROM counts),
+hosts AS (SELECT source, count(*) AS docs, count(*) FILTER (base_failed OR soft) AS failed FROM judged GROUP BY source),
+moments AS (
+  SELECT avg(failed / docs) AS m, coalesce(var_samp(failed / docs), 0) AS v, avg(failed / docs * (1 - failed / docs) / docs) AS c FROM hosts),
+prior AS (SELECT m, greatest(m * (1 - m) / greatest(v - c, 1e-6) - 1, 10) AS s FROM moments),
+bad AS (SELECT source FROM hosts, prior WHERE (failed + m * s) / (docs + s) > 0.5)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND NOT (soft AND EXISTS (SELECT 1 FROM bad b WHERE b.source IS NOT DISTINCT FROM j.source)) AS kept
+FROM judged j
+"""
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=200)
