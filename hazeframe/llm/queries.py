@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .quality_rules import quality_rules
 from .suffix_dedup import remove_repeats
@@ -100,3 +101,8 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(y) AS component_id, m
 FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
 GROUP BY d.doc_id, n
 """
+
+
+@query
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "times")

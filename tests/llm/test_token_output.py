@@ -11,7 +11,7 @@ from hazeframe.llm.token_output import Encoder, Reader, read_tokens, token_diges
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["", None, " ", "\n\n a\tb\x1cc d  e", "Straße É é ́x", "<|endoftext|> it's 12,345###", "x" * 3000, "the of and " * 4000]
+ODD = ["Été, THE the. Ünï... ßẞ İ ΑΣ ΑΣ. ﬁ. a.b c,, 한국 각 ǅ, ٣. x² K Å.", "", None, " ", "\n\n a\tb\x1cc d  e", "Straße É é ́x", "<|endoftext|> it's 12,345###", "x" * 3000, "the of and " * 4000]
 
 
 def plain(path, texts):
