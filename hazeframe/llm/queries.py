@@ -11,6 +11,7 @@ from .near_duplicates import near_duplicates
 from .quality_rules import quality_rules
 from .suffix_dedup import remove_repeats
 from .token_output import token_digests
+from .warc import archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +69,26 @@ FROM judged j
 """
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return archive(spark, table(spark, sf_dir, "pages")).select(*columns)
+
+
+ORACLES["op4_warc"] = """
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+bits AS (SELECT page_id, n, h, [('0x' || substr(h, 5 * j + 1, 5))::INTEGER FOR j IN range(0, 8)] AS v FROM payloads),
+digits AS (
+  SELECT page_id, n, h, array_to_string(
+    [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31)::INTEGER + 1, 1) FOR k IN range(0, 32)], '') AS d
+  FROM bits),
+first AS (SELECT h, max(page_id) AS f FROM payloads GROUP BY h)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> f THEN f END AS refers_to
+FROM digits JOIN first USING (h)
+"""
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=200)
