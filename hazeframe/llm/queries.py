@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .quality_rules import quality_rules
+from .secret_scan import scan_secrets
 from .suffix_dedup import remove_repeats
 from .token_output import token_digests
 from .warc import archive
@@ -94,6 +95,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=200)
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
