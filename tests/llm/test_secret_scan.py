@@ -54,7 +54,7 @@ def test_more_rules_add_spans_and_leave_the_base(spark):
 @pytest.mark.parametrize(
     ("pattern", "some"),
     [
-        ("AKIA[A-Z0-9]+", "aki kia"), ("[0-9a-f]+", ""), ("abc?d", "abd abc bcd"), ("abcd?", "abc"), ("(foo|bar)baz", "foo oob oba baz bar arb rba"),
+        ("AKIA[A-Z0-9]+", "aki kia"), ("[0-9a-f]+", ""), ("abc?d", "abd abc bcd"), ("abcd?", "abc bcd"), ("(foo|bar)baz", "foo oob oba baz bar arb rba"),
         ("x*abc", "abc"), ("(abc)+", "abc"), ("(abc)*", ""), ("a{3}", "aaa"), ("a.cde", "cde"), ("(?i)secret", "ecr cre ret"), ("(?ai)secret", "sec ecr cre ret"), ("(abc|d)", ""), ("^abc$", "abc"), ("(?:xyz){2,}", "xyz yzx zxy"),
     ],
 )
