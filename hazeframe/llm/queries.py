@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import decontaminate
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .quality_rules import quality_rules
@@ -133,3 +134,9 @@ GROUP BY d.doc_id, n
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "times")
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "items", "n_windows", "reparameterised")
