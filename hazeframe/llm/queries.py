@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import decontaminate
+from .html_extraction import extract_text
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .quality_rules import quality_rules
@@ -35,6 +36,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
