@@ -31,6 +31,8 @@ BANDS = 32
 ROWS = 4
 BINS = 1024
 BITS = 2048
+# Hubs that a class is compared with at first, by their sketches' nearness.
+NEAREST = 3
 # Members of a bucket on one side of a block of comparisons.
 BLOCK = 1000
 # Shingles whose minima are taken at a time.
@@ -205,40 +207,31 @@ def near_duplicates(
 
     # Classes of equal sets; a copy of a class has no part in the search.
     known = found.where("n > 0 AND doc_id IS NOT NULL")
-    classes = known.groupBy("node", "check", "n").agg(F.min("doc_id").alias("rep"))
-    classes = common.store(classes, "classes")
-    first = known.join(classes.select("node", F.col("rep").alias("doc_id")), ["node", "doc_id"], "left_semi")
-    first = common.store(first.dropDuplicates(["node"]).select("node", "n", "filled", "sketch", "bands"), "first")
-    sketches = first.select("node", "n", "filled", "sketch")
-    members = first.select("node", F.explode("bands").alias("key"))
+    whole = F.struct("n", "filled", "sketch", "bands")
+    classes = known.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min_by(whole, "doc_id").alias("one"))
+    classes = common.store(classes.select("node", "rep", "one.*"), "classes")
+    sketches = classes.select("node", "n", "filled", "sketch")
+    members = classes.select("node", "rep", F.explode("bands").alias("key"))
 
     # A hub of each bucket that has more than one class.
     hubs = members.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("node", "key").alias("by"), F.col("node").alias("hub")))["hub"].alias("hub"), F.count("*").alias("size")
     )
-    hubs = common.store(hubs.where("size > 1"), "hubs")
-    full = common.store(members.join(hubs.select("key", "hub", "size"), "key"), "members")
-    stars = full.where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    second = sketches.toDF("b", "n2", "filled2", "sketch2")
-    stars = stars.join(sketches.withColumnRenamed("node", "a"), "a").join(second, "b").where(_similar_sizes(percent))
+    full = common.store(members.join(hubs.where("size > 1"), "key"), "members")
+    stars = full.where("node != hub").select("node", "hub").distinct()
+    second = sketches.toDF("hub", "n2", "filled2", "sketch2")
+    stars = stars.join(sketches, "node").join(second, "hub").where(_similar_sizes(percent))
     stars = stars.withColumn("differ", _differing("sketch", "sketch2")).where(F.col("differ") <= _allowed(share))
-    stars = stars.select("a", "b", (F.col("differ") / (F.col("filled") + F.col("filled2"))).alias("far"))
-    stars = common.store(stars, "stars")
+    far = F.struct((F.col("differ") / (F.col("filled") + F.col("filled2"))).alias("far"), "hub")
 
     # Texts of the classes that share a bucket with another.
-    needed = full.select("node").distinct().join(classes.select("node", "rep"), "node")
-    texts = rows.join(needed.select("node", F.col("rep").alias("doc_id")), "doc_id")
-    texts = common.store(texts.select("node", "text"), "texts")
-
-    # Each class and its nearest hub; then the nearest pair of any two components.
-    ends = F.explode(F.array("a", "b")).alias("end")
-    best = stars.select(ends, "a", "b", "far").groupBy("end").agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("pair"))
-    links = _links(best.select("pair.a", "pair.b").distinct(), texts, width, percent)
-    labels = common.store(components(links), "labels")
-    open_stars = _ends(stars, labels).groupBy(F.least("la", "lb").alias("low"), F.greatest("la", "lb").alias("high"))
-    open_stars = open_stars.agg(F.min_by(F.struct("a", "b"), F.struct("far", "a", "b")).alias("pair"))
-    links = common.store(links.union(_links(open_stars.select("pair.a", "pair.b"), texts, width, percent)), "joined")
-    labels = common.store(components(links), "labels")
+    needed = full.select("node", F.col("rep").alias("doc_id")).distinct()
+    texts = common.store(rows.join(needed, "doc_id").select("node", "text"), "texts")
+
+    # Each class and its nearest hubs, of which there is one a band at most.
+    near = stars.groupBy("node").agg(F.slice(F.array_sort(F.collect_list(far)), 1, NEAREST).alias("hubs"))
+    near = near.select("node", F.explode("hubs.hub").alias("hub")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    labels = common.store(components(_links(near.distinct(), texts, width, percent)), "labels")
 
     # Every pair of a bucket that is still across components.
     named = _labelled(full.select("node", "key"), labels)
@@ -252,10 +245,11 @@ def near_duplicates(
     meet = (left["key"] == right["key"]) & (left["block"] == right["block"]) & (F.col("label") < F.col("label2"))
     rest = left.join(right, meet & _similar_sizes(percent) & (differ <= _allowed(share)))
     rest = rest.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    links = links.union(_links(rest, texts, width, percent))
-    labels = common.store(components(links), "labels")
+    ends = _ends(_links(rest, texts, width, percent), labels)
+    joined = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b"))).toDF("label", "joined")
 
-    grouped = _labelled(classes.select("node", "rep"), labels)
+    grouped = _labelled(classes.select("node", "rep"), labels).join(joined, "label", "left")
+    grouped = grouped.withColumn("label", F.coalesce("joined", "label"))
     smallest = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
     grouped = grouped.join(smallest, "label").select("node", "component_id")
     out = found.select("doc_id", "n", "node").join(grouped, "node", "left")

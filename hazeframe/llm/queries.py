@@ -14,6 +14,7 @@ from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
 from .suffix_dedup import remove_repeats
 from .token_output import token_digests
+from .url_filters import dated_captures, dated_list, evaluate
 from .warc import archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +98,36 @@ FROM digits JOIN first USING (h)
 """
 
 
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = evaluate(dated_captures(pages), dated_list(pages))
+    return judged.withColumns({c: judged[c].cast("string") for c in ("fetched_on", "listed_on")})
+
+
+ORACLES["op5_url_filters"] = r"""
+WITH hosts AS (
+  SELECT page_id, url, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS host,
+    nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1), '') AS step,
+    DATE '2024-01-01' + (('0x' || substr(md5(coalesce(url, '')), 1, 4))::INTEGER % 500) AS fetched_on
+  FROM pages),
+keys AS (
+  SELECT page_id, url, fetched_on, u.level, u.pos, CASE u.level WHEN 'domain' THEN nullif(regexp_extract(host, '([^.]+\.[^.]+)$', 1), '')
+    WHEN 'host' THEN host ELSE host || '/' || step END AS key
+  FROM hosts, (VALUES ('domain', 1), ('host', 2), ('path', 3)) AS u(level, pos)),
+entries AS (
+  SELECT DISTINCT level, key, DATE '2024-01-01' + (('0x' || substr(md5(level || ':' || key), a.digit, 4))::INTEGER % 500) AS listed_on, a.action
+  FROM keys, (VALUES ('block', 1), ('allow', 5), ('block', 9)) AS a(action, digit) WHERE key IS NOT NULL),
+found AS (
+  SELECT k.page_id, k.url, k.fetched_on, k.level, k.key, k.pos, e.listed_on, e.action,
+    row_number() OVER (PARTITION BY k.page_id ORDER BY k.pos DESC, e.listed_on DESC, e.action DESC) AS n
+  FROM keys k JOIN entries e ON e.level = k.level AND e.key = k.key AND e.listed_on <= k.fetched_on)
+SELECT h.page_id, h.url, h.fetched_on::VARCHAR AS fetched_on, f.level AS matched_level, f.key AS matched_key, f.listed_on::VARCHAR AS listed_on,
+  CASE f.action WHEN 'block' THEN 'blocked' WHEN 'allow' THEN 'allowed' ELSE 'unlisted' END AS verdict, coalesce(f.action <> 'block', true) AS kept
+FROM hosts h LEFT JOIN found f ON f.page_id = h.page_id AND f.n = 1
+"""
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=200)
