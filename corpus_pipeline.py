@@ -1,22 +1,61 @@
-"""The corpus pipeline: documents to a packed token file in stages."""
+"""The corpus pipeline: documents to a packed token file, in stages.
+
+Each stage takes what the stage before kept, as Parquet, and returns rows with the
+columns of ``documents``; the last writes token files and returns their digests.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hazeframe.llm import common
+from hazeframe.llm.decontamination import keep_clean
+from hazeframe.llm.mixing import mix_sources, repeat_rows
 from hazeframe.llm.near_duplicates import near_duplicates
+from hazeframe.llm.quality_rules import keep_good
+from hazeframe.llm.queries import tokenizer_path
+from hazeframe.llm.token_output import token_digests
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return keep_good(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words, a similarity of 0.8."""
-    verdicts = common.store(near_duplicates(docs, width=5, percent=80), "verdicts")
-    return docs.join(verdicts.where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near duplicates: five words, a similarity of 0.8.
+
+    Of rows that repeat an id one stays; rows without an id all stay.
+    """
+    kept = common.store(near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id"), "kept")
+    counts = kept.where("doc_id IS NOT NULL").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
+    named = kept.distinct().select(F.col("doc_id").alias("kept_id"))
+    out = docs.join(named, docs["doc_id"].eqNullSafe(named["kept_id"]), "left_semi")
+    if counts["n"] == counts["ids"]:
+        return out
+    return out.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id IS NULL"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the benchmark."""
+    return keep_clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return repeat_rows(docs, common.store(mix_sources(docs), "mix"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files, and for each document what was read back from them."""
+    return token_digests(spark, docs, tokenizer_path(), end_id=2)
 
 
-STAGES = [("near_duplicates", deduplicate)]
+STAGES = [("quality_rules", quality), ("near_duplicates", deduplicate), ("decontamination", decontaminate), ("mixing", mix), ("token_output", tokens)]
 
-# Groups of near duplicates and token ids are beyond SQL; tests hold the stages against brute force.
+# Groups of near duplicates, balanced sampling and token ids are beyond SQL; a test
+# holds the stages against brute force.
 ORACLE_SQL = None
 
 
