@@ -366,12 +366,15 @@ def _histogram_oracle(source: str, keys: list[str], value: str, bins: int, where
     sel = f"{k}, " if keys else ""
     using = f"JOIN rng USING ({k})" if keys else "CROSS JOIN rng"
     grp = f" GROUP BY {k}" if keys else ""
+    of = "".join(f"rng.{c}, " for c in keys)
+    same = "".join(f"bin_counts.{c} = rng.{c} AND " for c in keys)
     return f"""vals AS (SELECT {sel}{value} AS v FROM {source} WHERE {value} IS NOT NULL AND {where}),
 rng0 AS (SELECT {sel}min(v) AS lo0, max(v) AS hi0, count(*) AS n FROM vals{grp}),
 rng AS (SELECT {sel}n, CASE WHEN lo0 < hi0 THEN lo0 ELSE lo0 - 0.5 END AS lo,
     (CASE WHEN lo0 < hi0 THEN hi0 - lo0 ELSE 1 END) / CAST({bins} AS DOUBLE) AS w FROM rng0),
-binned AS (SELECT {sel}CAST(least(floor((v - lo) / w), {bins - 1}) AS INTEGER) AS Bin, count(*) AS Count,
-    any_value(lo) AS lo, any_value(w) AS w, any_value(n) AS n FROM vals {using} GROUP BY ALL)"""
+bin_counts AS (SELECT {sel}CAST(least(floor((v - lo) / w), {bins - 1}) AS INTEGER) AS Bin, count(*) AS c FROM vals {using} GROUP BY ALL),
+binned AS (SELECT {of}CAST(b AS INTEGER) AS Bin, coalesce(c, 0) AS Count, lo, w, n
+    FROM rng CROSS JOIN range(0, {bins}) AS r(b) LEFT JOIN bin_counts ON {same}bin_counts.Bin = b)"""
 
 
 def _hist_select(keys: list[str], more: str = "") -> str:

@@ -13,8 +13,16 @@ def round_even(value: Column, digits: int) -> Column:
 
 
 def scaled(value: Column, digits: int) -> Column:
-    """A reading with at most ``digits`` decimals as a whole number."""
-    return F.rint(value * F.lit(float(10**digits))).cast("bigint")
+    """A reading with at most ``digits`` decimals as a whole number; null if it is out of range."""
+    return F.rint(value * F.lit(float(10**digits))).try_cast("bigint")
+
+
+def exact(value: Column, digits: int) -> Column:
+    """A reading as a decimal, so that sums do not depend on order; null if it is out of range.
+
+    There is room for 18 digits before the point: sums of 10 billion such values fit.
+    """
+    return value.try_cast(f"decimal({18 + digits},{digits})")
 
 
 def exact_sum(value: Column, digits: int | None) -> Column:

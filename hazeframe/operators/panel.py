@@ -11,10 +11,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions.numeric import mean_of, scaled
+from ..functions.numeric import exact
 from . import segments
 
-DEFAULT_DIGITS = 4
+# Decimals that count; readings have far fewer.
+DEFAULT_DIGITS = 10
 
 
 def fill(
@@ -61,19 +62,21 @@ def rolling(
     """Add rolling means and maxima over the last rows of a series.
 
     A moving frame visits every row as often as the frame is long.  Counts, and
-    sums over whole numbers, are exact differences of running totals instead: two
+    sums over decimals, are exact differences of running totals instead: two
     passes of constant work per row over the same sorted rows, and a mean that
-    does not depend on the order of additions.  ``digits=None`` is the plain
-    average over a moving frame, for values with any number of decimals.
+    does not depend on the order of additions.  Values of 1e18 and more, and
+    infinite ones, are unknown to the mean.  ``digits=None`` is the plain average
+    over a moving frame, for values with any number of decimals.
     """
     past = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = {}
     for col in dict.fromkeys(r.column for r in rolls.values()):
-        totals[f"_known_{col}"] = F.count(col).over(past)
+        value = F.col(col)
         if digits is not None and any(r.how == "mean" for r in rolls.values() if r.column == col):
+            value = exact(value, digits)
             # 0, not null, before the first known value: it is subtracted below
-            whole = F.coalesce(scaled(F.col(col), digits), F.lit(0))
-            totals[f"_total_{col}"] = F.sum(whole).over(past)
+            totals[f"_total_{col}"] = F.sum(F.coalesce(value, F.lit(0))).over(past)
+        totals[f"_known_{col}"] = F.count(value).over(past)
 
     def last_rows(total: str, rows: int) -> Column:
         return F.col(total) - F.lag(total, rows, 0).over(window)
@@ -87,7 +90,8 @@ def rolling(
         elif digits is None:
             value = F.avg(r.column).over(frame)
         else:
-            value = mean_of(last_rows(f"_total_{r.column}", r.rows), known, digits)
+            total = last_rows(f"_total_{r.column}", r.rows).cast("double")
+            value = total / F.nullif(known.cast("double"), F.lit(0.0))
         made[name] = F.when(known >= r.min_rows, value)
     return df.withColumns(totals).withColumns(made).drop(*totals)
 

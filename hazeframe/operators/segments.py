@@ -27,44 +27,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import second_of_time
+from ..sources.tables import checkpoint
 
 SEG = "_seg"
 SIDE = "_side"  # -1 rows before the segment, 0 the segment, 1 rows after it
 
 SEGMENT_ROWS = "hazeframe.segmentRows"
 DEFAULT_SEGMENT_ROWS = 4_000_000
-# The list of keys to cut is held by the driver and broadcast.  By the pigeonhole
-# principle a key outside the longest list has fewer than N / MAX_HOT rows, so a
-# full list leaves no task with more than that.
+# Keys in a list that the driver holds.  By the pigeonhole principle a key outside the
+# longest list has fewer than N / MAX_HOT rows.
 MAX_HOT = 20_000
-MAX_ROUNDS = 8
 
 
 def segment_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(SEGMENT_ROWS, str(DEFAULT_SEGMENT_ROWS)))
 
 
-def _measure(df: DataFrame, name: str) -> Column | None:
-    """An order column as a double that never decreases along the order."""
+def _measure(df: DataFrame, name: str) -> Column:
+    """An order column as a double that never decreases along the order; null for a type without one."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         return second_of_time(name)
-    if isinstance(kind, (T.TimestampType, T.NumericType)):
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, (T.TimestampType, T.NumericType, T.BooleanType)):
         return F.col(name).cast("double")
-    return None
+    return F.lit(None).cast("double")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> list:
-    """Keys with more than ``rows`` rows, largest first, at most ``MAX_HOT``."""
+    """Keys with more than ``rows`` rows, largest first, at most ``MAX_HOT``; a null key is none."""
+    return _crowded(df.dropna(how="any", subset=list(keys)), keys, rows).orderBy(F.desc("n"), *keys).limit(MAX_HOT).collect()
+
+
+def _crowded(df: DataFrame, keys: Sequence[str], rows: int | None) -> DataFrame:
     rows = rows or segment_rows(df.sparkSession)
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows)
-        .orderBy(F.desc("n"), *keys)
-        .limit(MAX_HOT)
-        .collect()
-    )
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
 
 
 def split_hot(
@@ -72,75 +70,62 @@ def split_hot(
 ) -> DataFrame:
     """Cut hot keys into segments along ``order``; see the module text.
 
-    A segment that is still too large is cut again, which adapts to bursts.  It
-    is cut on the first order column that is not constant in it, so copies of
-    one timestamp are cut by the columns that break the tie.  A cut separates
-    the least from the largest value, hence every round makes progress.
+    A segment that is still too large is cut again, until none is or its rows are
+    alike in all of ``order``.  It is cut on the first order column that is not
+    constant in it, so copies of one timestamp are cut by the columns that break the
+    tie.  Nulls stand first, as in a window, and are cut off from the rest.  Values
+    that are no numbers (text), and numbers a double cannot tell apart, are cut into
+    the least one and the rest.  Every cut parts the least from the largest.
     """
     rows = rows or segment_rows(df.sparkSession)
-    if not hot_keys(df, keys, rows):
+    if _crowded(df, keys, rows).isEmpty():
         return df
-    measures = []
-    for name in order:
-        value = _measure(df, name)
-        if value is None:
-            break
-        measures.append(value)
-    for _ in range(MAX_ROUNDS):
-        cuts = _cuts(df, keys, measures, rows)
-        if not cuts:
+    while True:
+        cuts = checkpoint(_cuts(df, keys, order, rows))
+        if cuts.isEmpty():
             return df
-        df = _apply_cuts(df, keys, measures, cuts)
-    return df
+        df = _apply_cuts(df, keys, order, cuts)
 
 
-def _cuts(df, keys, measures, rows):
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int) -> DataFrame:
     """One row per group to cut: key, column number, least value and slot width."""
     group = [*keys, SEG] if SEG in df.columns else list(keys)
-    ranges = [F.min(m).alias(f"lo{i}") for i, m in enumerate(measures)]
-    ranges += [F.max(m).alias(f"hi{i}") for i, m in enumerate(measures)]
-    stats = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *ranges)
+    ranges = []
+    for i, name in enumerate(order):
+        value = _measure(df, name)
+        ranges += [F.min(name).alias(f"least{i}"), F.max(name).alias(f"most{i}"), F.count(name).alias(f"known{i}")]
+        ranges += [F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
+    stats = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *ranges).where(F.col("n") > rows)
+    slots = F.ceil(F.col("n") / rows) * 2
     span = F
-    for i in range(len(measures)):
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        span = span.when(lo < hi, F.struct(F.lit(i).alias("on"), lo.alias("lo"), hi.alias("hi")))
-    return (
-        stats.where(F.col("n") > rows)
-        .select(*group, "n", span.alias("span"))
-        .where("span is not null")
-        .orderBy(F.desc("n"), *group)
-        .limit(MAX_HOT)
-        .select(
-            *group,
-            F.col("span.on").alias("_on"),
-            F.col("span.lo").alias("_lo"),
-            (F.ceil(F.col("n") / rows) * 2).cast("int").alias("_slots"),
-            ((F.col("span.hi") - F.col("span.lo")) / (F.ceil(F.col("n") / rows) * 2)).alias("_width"),
-        )
-        .collect()
-    )
-
-
-def _apply_cuts(df, keys, measures, cuts):
+    for i in range(len(order)):
+        known = F.col(f"known{i}")
+        varies = (F.col(f"least{i}") < F.col(f"most{i}")) | ((known > 0) & (known < F.col("n")))
+        width = (F.col(f"hi{i}") - F.col(f"lo{i}")) / slots
+        cut = F.struct(
+            F.lit(i).alias("_on"), F.col(f"least{i}").cast("string").alias("_least"), F.col(f"lo{i}").alias("_lo"), slots.cast("int").alias("_slots"),
+            F.when(width > 0, width).alias("_width"),
+        )
+        span = span.when(varies, cut)
+    return stats.select(*group, span.alias("span")).where("span is not null").select(*group, "span.*")
+
+
+def _apply_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
     again = SEG in df.columns
     group = [*keys, SEG] if again else list(keys)
-    fields = [T.StructField(n, df.schema[n].dataType) for n in group]
-    fields += [
-        T.StructField("_on", T.IntegerType()),
-        T.StructField("_lo", T.DoubleType()),
-        T.StructField("_slots", T.IntegerType()),
-        T.StructField("_width", T.DoubleType()),
-    ]
-    # At most MAX_HOT short rows, see above: safe to broadcast.
-    table = df.sparkSession.createDataFrame([tuple(r) for r in cuts], T.StructType(fields))
-    table = table.toDF(*[f"_k{i}" for i in range(len(group))], "_on", "_lo", "_slots", "_width")
-    same = [F.col(name).eqNullSafe(F.col(f"_k{i}")) for i, name in enumerate(group)]
-    joined = df.join(F.broadcast(table), same, "left")
-    value = F
-    for i, measure in enumerate(measures):
-        value = value.when(F.col("_on") == i, measure)
-    slot = F.least(F.floor((value - F.col("_lo")) / F.col("_width")), F.col("_slots") - 1)
-    slot = F.coalesce(slot.cast("int"), F.lit(-1))
+    names = {name: f"_k{i}" for i, name in enumerate(group)}
+    few = cuts.limit(MAX_HOT + 1).count() <= MAX_HOT
+    table = cuts.withColumnsRenamed(names)
+    same = [F.col(name).eqNullSafe(F.col(renamed)) for name, renamed in names.items()]
+    joined = df.join(F.broadcast(table) if few else table, same, "left")
+    measure, text, known = F, F, F
+    for i, name in enumerate(order):
+        on = F.col("_on") == i
+        measure, text, known = measure.when(on, _measure(df, name)), text.when(on, F.col(name).cast("string")), known.when(on, F.col(name).isNotNull())
+    slot = F.least(F.floor((measure - F.col("_lo")) / F.col("_width")), F.col("_slots") - 1)
+    slot = F.when(F.col("_width").isNull(), (text != F.col("_least")).cast("int")).otherwise(slot.cast("int"))
+    # A null sorts before every value.
+    slot = F.when(known, slot).otherwise(F.lit(-1))
     cut = F.col("_on").isNotNull()
     if again:
         seg = F.when(cut, F.concat(F.col(SEG), F.array(slot))).otherwise(F.col(SEG))
@@ -162,31 +147,31 @@ def _add_side(df: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def with_halo(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], k: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], k: int, after: bool = False
 ) -> DataFrame:
-    """Add the ``k`` rows before each segment; no-op when nothing is cut."""
+    """Add the ``k`` rows before (``after``: behind) each segment; no-op when nothing is cut."""
     if SEG not in df.columns:
         return df
     cut = df.where(F.col(SEG).isNotNull())
-    back = Window.partitionBy(*keys, SEG).orderBy(*[F.desc(c) for c in order])
+    near = Window.partitionBy(*keys, SEG).orderBy(*(order if after else [F.desc(c) for c in order]))
     fields = list(dict.fromkeys([*order, *cols]))
-    tails = (
+    ends = (
         cut.select(*keys, SEG, *[c for c in fields if c not in keys])
-        .withColumn("_r", F.row_number().over(back))
+        .withColumn("_r", F.row_number().over(near))
         .where(F.col("_r") <= k)
         .groupBy(*keys, SEG)
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_tail"))
+        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_ends"))
     )
-    # One row per segment; each earlier segment has at least one row, so the k
-    # segments before hold the k rows before.
-    before = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(-k, -1)
-    halo = F.flatten(F.collect_list("_tail").over(before))
-    halo = F.slice(halo, F.greatest(F.size(halo) - k + 1, F.lit(1)), F.lit(k))
+    # One row per segment; each other segment has at least one row, so the k
+    # segments next to it hold the k rows next to it.
+    by_seg = Window.partitionBy(*keys).orderBy(SEG)
+    halo = F.flatten(F.collect_list("_ends").over(by_seg.rowsBetween(1, k) if after else by_seg.rowsBetween(-k, -1)))
+    halo = F.slice(halo, 1, k) if after else F.slice(halo, F.greatest(F.size(halo) - k + 1, F.lit(1)), F.lit(k))
     extra = (
-        tails.select(*keys, SEG, halo.alias("_halo"))
+        ends.select(*keys, SEG, halo.alias("_halo"))
         .select(*keys, SEG, F.explode("_halo").alias("_row"))
         .select(
-            *keys, SEG, *[F.col("_row")[c].alias(c) for c in fields], F.lit(-1).alias(SIDE)
+            *keys, SEG, *[F.col("_row")[c].alias(c) for c in fields], F.lit(1 if after else -1).alias(SIDE)
         )
     )
     return _add_side(df, extra)

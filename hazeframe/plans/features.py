@@ -42,19 +42,10 @@ def history(
 
 
 def _ahead(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
-    """A lead is a lag of the reversed series; the cut of a series has no side."""
-    if segments.SEG not in df.columns:
-        window = segments.series(df, KEY, order)
-        return df.withColumn("Target", F.lead(TARGET, rows).over(window))
-    flipped = df.withColumn(segments.SEG, F.transform(segments.SEG, lambda s: -s))
-    back = [f"_back{i}" for i in range(len(order))]
-    measures = [segments._measure(df, c) for c in order]
-    flipped = flipped.withColumns({b: -m for b, m in zip(back, measures, strict=True)})
-    flipped = segments.with_halo(flipped, KEY, back, [TARGET], rows)
-    window = segments.series(flipped, KEY, back)
-    flipped = flipped.withColumn("Target", F.lag(TARGET, rows).over(window))
-    done = segments.drop_extra(flipped).drop(*back)
-    return done.withColumn(segments.SEG, F.transform(segments.SEG, lambda s: -s))
+    """``Target``: the index some rows ahead, over cuts of a series too."""
+    df = segments.with_halo(df, KEY, order, [TARGET], rows, after=True)
+    window = segments.series(df, KEY, order)
+    return segments.drop_extra(df.withColumn("Target", F.lead(TARGET, rows).over(window)))
 
 
 def encode_calendar(df: DataFrame, region: Region = NORTH_INDIA) -> DataFrame:

@@ -350,7 +350,7 @@ def load(
 ) -> tuple[PipelineModel | None, list[str] | None]:
     """A stored model and its inputs; ``(None, None)`` when there is none."""
     path = f"{folder}/{model_folder(name)}"
-    if not tables.exists(spark, f"{path}/metadata", "text"):
+    if not tables.exists(spark, f"{path}/metadata"):
         return None, None
     model = PipelineModel.load(path)
     return model, list(model.stages[0].getInputCols())

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +31,9 @@ def outer_name(name: str) -> str:
 
 
 def number(col: Column) -> Column:
-    """Text to a double; text that is no number, and NaN, is null."""
+    """Text to a double; text that is no number, NaN and infinity are null."""
     value = col.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +93,7 @@ def write_table(
 
 def read_aqi(spark: SparkSession, path: str) -> DataFrame:
     """The stored index table, Parquet or CSV; bad times become null."""
-    if exists(spark, path, "parquet"):
+    if format_of(spark, path) == "parquet":
         return spark.read.parquet(path)
     raw = read_text_csv(spark, path)
     text = {"StationId", "StationName", "City", "State", "Season", "AQI_Category", "DominantPollutant"}
@@ -112,19 +109,30 @@ def read_aqi(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumns(typed)
 
 
-def exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """Whether the path holds a readable table of the format."""
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018
-    except (AnalysisException, Py4JJavaError):
-        return False
-    return True
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at the path, readable or not."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def format_of(spark: SparkSession, path: str) -> str:
+    """"parquet" or "csv", by the names of the files at the path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
+    names = []
+    while found.hasNext() and len(names) < 1000:
+        names.append(found.next().getPath().getName())
+    # A table whose files say nothing is read as Parquet, which raises if it is none.
+    return "csv" if any(n.endswith((".csv", ".csv.gz")) for n in names) else "parquet"
 
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The stored table; when there is none it is built and stored first."""
+    """The stored table, Parquet or CSV; when the path holds nothing it is built and stored first.
+
+    A table that cannot be read raises, and stays as it is.
+    """
     if not exists(spark, path):
-        write_table(build(), path)
+        write_table(build(), path, mode="error")
     return read_aqi(spark, path)
 
 
@@ -144,27 +152,36 @@ def write_results(results: DataFrame, path: str) -> None:
 
 def read_results(spark: SparkSession, path: str) -> DataFrame | None:
     """Model metrics, ``None`` when they were never written."""
-    if not exists(spark, path, "csv"):
+    if not exists(spark, path):
         return None
     return spark.read.csv(path, header=True, schema=RESULTS)
 
 
+_STORED: list[str] = []
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the frame to the shared folder and read it back.
 
     The stored table survives the loss of any executor, is computed once, and
-    later reads prune columns and push filters down.
+    later reads prune columns and push filters down.  ``release`` deletes it.
     """
     path = f"{shared_folder(df.sparkSession)}/hazeframe-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``checkpoint`` has stored; frames that read them end."""
+    while _STORED:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only a local run without it gets a fresh folder."""
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="hazeframe-")
+    return folder
