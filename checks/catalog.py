@@ -647,7 +647,7 @@ check(
       {', '.join(ONE_HOT)} FROM feat""",
 )
 
-# --- models: rows only --------------------------------------------------------
+# --- models -------------------------------------------------------------------
 # Small tree sizes; the library defaults are the published ones.
 
 TREES, DEPTH, ROUNDS, BOOST_DEPTH = 20, 5, 10, 4
@@ -682,14 +682,22 @@ def _scored_metrics(which: str) -> Query:
         ml.evaluate(ml.score(m, test, which), ml.prediction_column(which), which), 4, METRICS))
 
 
-check("ml_linear", _scored_metrics(ml.LINEAR))
+# The published features hold the target (first lag plus first delta), so the linear
+# model is exact, and its scores follow from the target and the clip.
+EXACT = "least(greatest(AQI_Final, 0), 500)"
+LINEAR_METRICS = _metrics_sql("Linear Regression", EXACT).replace(", 6)", ", 4)")
+check("ml_linear", _scored_metrics(ml.LINEAR), SPLIT + " " + LINEAR_METRICS)
 check("ml_forest", _scored_metrics(ml.FOREST))
 check("ml_boosted", _scored_metrics(ml.BOOSTED))
 check(
     "ml_score",
-    _trained(ml.LINEAR, lambda m, train, test: ml.score(m, test, ml.LINEAR).select(
-        *IDS, "AQI_Final", F.round("Pred_Linear_Regression", 2).alias("Pred_Linear_Regression"),
-        index.forecast_category("Pred_Linear_Regression").alias("Category"))),
+    _trained(ml.LINEAR, lambda m, train, test: rounded(ml.score(m, test, ml.LINEAR), 2, ["Pred_Linear_Regression"]).select(
+        *IDS, "AQI_Final", "Pred_Linear_Regression", index.forecast_category("Pred_Linear_Regression").alias("Category"))),
+    SPLIT + f" SELECT *, {S.category("Pred_Linear_Regression")} AS Category FROM (SELECT StationId, Datetime, AQI_Final, CAST(round({EXACT}, 2) AS DOUBLE) AS Pred_Linear_Regression FROM test)",
+)
+check(
+    "ml_prediction_pairs", lambda s, d: ml.prediction_pairs(_naive(s, d), NAIVE),
+    SPLIT + " " + " UNION ALL ".join(f"SELECT '{n}' AS Model, AQI_Final AS Actual, {c} AS Predicted FROM test" for n, c in (("Last Value", "AQI_Lag1"), ("Last Day", "AQI_Lag24"))),
 )
 check(
     "ml_importance",
@@ -703,7 +711,7 @@ check(
 
 def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _, names = _train_test(spark, sf_dir)
-    return ml.cross_validate(ml.linear(names), train, ml.LINEAR)
+    return rounded(ml.cross_validate(ml.linear(names), train, ml.LINEAR), 6, ["MeanR2", "StdR2"])
 
 
 def _cv_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -711,7 +719,45 @@ def _cv_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.cross_validate_boosted(ml.boosted(names, rounds=5, depth=3), train)
 
 
-check("ml_cv", _cv)
+check("ml_cv", _cv, "SELECT 'Linear Regression' AS Model, CAST(1 AS DOUBLE) AS MeanR2, CAST(0 AS DOUBLE) AS StdR2")
+
+
+def _request_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests scored by a linear model of the first lag and delta, which is their sum."""
+    train, test, _ = _train_test(spark, sf_dir)
+    model = ml.train_linear(train, ["AQI_Lag1", "AQI_Delta1"])
+    scored = ml.score(model, ml.request_features(_requests(test), REGION), ml.LINEAR)
+    return rounded(scored, 2, ["Pred_Linear_Regression"]).select(*IDS, "Pred_Linear_Regression")
+
+
+check(
+    "ml_request_linear", _request_linear,
+    SPLIT + """ SELECT StationId, Datetime, CAST(round(least(greatest(2 * AQI_Lag1 - AQI_Lag3, 0), 500), 2) AS DOUBLE) AS Pred_Linear_Regression FROM test""",
+)
+
+
+def _tree_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of tree models: all rows scored, within bounds, better than the mean of training."""
+    train, test, names = _train_test(spark, sf_dir)
+    mean = train.agg(F.avg("AQI_Final")).first()[0]
+    rows = []
+    for which in (ml.FOREST, ml.BOOSTED):
+        model = _fit(which, train, names)
+        p, t = F.col(ml.prediction_column(which)), F.col("AQI_Final")
+        listed = ml.importance(model, spark, len(names))
+        weights = listed.agg(F.round(F.sum("Importance"), 6).alias("w"), F.countDistinct("Feature").alias("f")).first()
+        rows.append(ml.score(model, test, which).agg(
+            F.lit(which).alias("Model"), F.count(p).alias("Rows"), F.min(p.between(0, 500)).alias("InBounds"),
+            (F.avg((p - t) * (p - t)) < F.avg((t - mean) * (t - mean))).alias("BetterThanMean"),
+            F.lit(weights["w"]).alias("ImportanceSum"), F.lit(weights["f"] == len(names)).alias("EachFeatureOnce")))
+    return rows[0].unionByName(rows[1])
+
+
+check(
+    "ml_tree_invariants", _tree_invariants,
+    SPLIT + " SELECT m AS Model, (SELECT count(*) FROM test) AS Rows, true AS InBounds, true AS BetterThanMean, "
+    "CAST(1 AS DOUBLE) AS ImportanceSum, true AS EachFeatureOnce FROM (VALUES ('Random Forest'), ('Boosted Trees')) AS v(m)",
+)
 check("ml_cv_boosted", _cv_boosted)
 
 # --- findings -----------------------------------------------------------------

@@ -63,6 +63,7 @@ EXPO = {
     "PM25": ("PM25_24h", 24, 12), "PM10": ("PM10_24h", 24, 12), "SO2": ("SO2_24h", 24, 12),
     "NOx": ("NOx_24h", 24, 12), "NH3": ("NH3_24h", 24, 12), "CO": ("CO_8h", 8, 4), "O3": ("O3_8h", 8, 4),
 }
+# Fixed values, stated here once more so that the oracles stand on their own.
 EDGES = {
     "PM25": [0, 30, 60, 90, 120, 250, 500],
     "PM10": [0, 50, 100, 250, 350, 430, 600],

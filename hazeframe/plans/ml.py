@@ -30,6 +30,8 @@ from ..sources import tables
 TARGET = "AQI_Final"
 SEED = 42
 LOW, HIGH = 0.0, 500.0
+# Rounds without a gain after which boosting ends.
+PATIENCE = 50
 
 LINEAR, FOREST, BOOSTED = "Linear Regression", "Random Forest", "Boosted Trees"
 
@@ -98,16 +100,13 @@ def forest(
 
 
 def boosted(
-    features: Sequence[str], target: str = TARGET, rounds: int = 1000, depth: int = 7,
-    validation: str | None = None,
+    features: Sequence[str], target: str = TARGET, rounds: int = 1000, depth: int = 7
 ) -> Pipeline:
-    """Gradient-boosted trees; with a validation column they stop early."""
+    """Gradient-boosted trees, all rounds of them."""
     model = GBTRegressor(
         labelCol=target, maxIter=rounds, stepSize=0.05, maxDepth=depth,
         subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=SEED,
     )
-    if validation:
-        model = model.setValidationIndicatorCol(validation)
     return Pipeline(stages=[_assembler(features), model])
 
 
@@ -121,10 +120,36 @@ def train_forest(
     return forest(features, target, **size).fit(train)
 
 
+def validation_curve(model: PipelineModel, df: DataFrame) -> list[float]:
+    """Squared error on ``df`` after each round of a boosted model."""
+    return list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(df), "squared"))
+
+
+def best_prefix(curve: Sequence[float], patience: int) -> int:
+    """Rounds up to the best one, looking no further than ``patience`` rounds without a better."""
+    best = 0
+    for i, error in enumerate(curve):
+        if error < curve[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def train_boosted(
-    train: DataFrame, features: Sequence[str], target: str = TARGET, **size: int
+    train: DataFrame, features: Sequence[str], target: str = TARGET, rounds: int = 1000, depth: int = 7,
+    patience: int = PATIENCE,
 ) -> PipelineModel:
-    return boosted(features, target, validation="Validation", **size).fit(mark_validation(train))
+    """Boosted trees, stopped where the last tenth of the timeline gains no more.
+
+    The rounds before the cut are those of the longer training: each has a seed of
+    its own, so training again to the best round gives its first trees.
+    """
+    marked = mark_validation(train)
+    rows = marked.where(~F.col("Validation"))
+    model = boosted(features, target, rounds, depth).fit(rows)
+    kept = best_prefix(validation_curve(model, marked.where("Validation")), patience)
+    return model if kept == rounds else boosted(features, target, kept, depth).fit(rows)
 
 
 def rounds_kept(model: PipelineModel) -> int:
@@ -185,23 +210,26 @@ def best_model(results: DataFrame) -> DataFrame:
     return results.agg(best.alias("b")).select("b.*")
 
 
+def prediction_pairs(df: DataFrame, names: Sequence[str], target: str = TARGET) -> DataFrame:
+    """``Model``, ``Actual``, ``Predicted``: a row per test row and model."""
+    cols = {prediction_column(n): n for n in names}
+    long = df.select(target, *cols).unpivot([target], list(cols), "_column", "Predicted")
+    label = reduce(lambda expr, item: expr.when(F.col("_column") == item[0], F.lit(item[1])), cols.items(), F)
+    return long.select(label.alias("Model"), F.col(target).alias("Actual"), "Predicted")
+
+
 def actual_vs_predicted(
     df: DataFrame, names: Sequence[str], target: str = TARGET
 ) -> DataFrame:
-    """Range of both axes and R² per model; the pairs are the rows of ``df``."""
-    cols = {prediction_column(n): n for n in names}
-    metrics = comparison(df, names, target).select("Model", "R2")
-    ends = [
-        df.agg(
-            F.lit(n).alias("Model"),
-            F.count(c).alias("Pairs"),
-            F.least(F.min(target), F.min(c)).alias("Low"),
-            F.greatest(F.max(target), F.max(c)).alias("High"),
-        )
-        for c, n in cols.items()
-    ]
-    # one row per model on both sides
-    return reduce(DataFrame.unionByName, ends).join(F.broadcast(metrics), "Model")
+    """Range of both axes and R² per model, in one pass; the points are ``prediction_pairs``."""
+    error = F.col("Actual") - F.col("Predicted")
+    total = F.var_pop("Actual") * F.count("Actual")
+    return prediction_pairs(df, names, target).groupBy("Model").agg(
+        F.count("Predicted").alias("Pairs"),
+        F.least(F.min("Actual"), F.min("Predicted")).alias("Low"),
+        F.greatest(F.max("Actual"), F.max("Predicted")).alias("High"),
+        (1 - F.sum(error * error) / F.nullif(total, F.lit(0.0))).alias("R2"),
+    )
 
 
 def residuals(df: DataFrame, name: str, target: str = TARGET) -> DataFrame:
