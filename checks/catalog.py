@@ -188,9 +188,16 @@ check(
     on("sensor", "indexed", lambda df: reports.preview(df, 500).select(*IDS, "City", "State", "AQI_Final", "AQI_Category", "DominantPollutant")),
     A + " SELECT StationId, Datetime, City, State, AQI_Final, AQI_Category, DominantPollutant FROM aqi ORDER BY StationId, Datetime LIMIT 500",
 )
-NULLED = ["AQI", "AQI_Category", "DominantPollutant", *MEANS, *MAXES, *SI, "PM25", "PM10", "NOx"]
+# Every column of the feature table, helper columns of the check panel aside.
 check(
-    "null_profile", on("sensor", "indexed", lambda df: reports.null_profile(df, NULLED)),
+    "null_profile", on("sensor", "featured", lambda df: reports.null_profile(df, S.feature_names("sensor"), None)),
+    S.chain("sensor", "feat") + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"Column\", count(*) FILTER (WHERE {c} IS NULL) AS Nulls FROM feat" for c in S.feature_names("sensor")
+    ),
+)
+NULLED = ["AQI", "AQI_Category", "DominantPollutant", *IDS, "City", "State", *MEANS, *MAXES, *SI, "PM25", "PM10", "NOx"]
+check(
+    "null_profile_index", on("sensor", "indexed", lambda df: reports.null_profile(df, NULLED)),
     A + " SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS \"Column\", count(*) FILTER (WHERE {c} IS NULL) AS Nulls FROM aqi" for c in NULLED
     ) + ") ORDER BY Nulls DESC, \"Column\" LIMIT 10",
@@ -321,14 +328,16 @@ def _summary_oracle(keys: str, spread: bool) -> str:
 check("state_summary", on("daily", "indexed", reports.state_summary), B + _summary_oracle("State", True))
 check("city_summary", on("sensor", "indexed", reports.city_summary), A + _summary_oracle("City, State", False))
 check(
-    "burn_by_timestamp", on("daily", "indexed", lambda df: eda.burn_by_timestamp(df, REGION)),
+    "burn_by_timestamp", on("daily", "indexed", lambda df: eda.burn_by_timestamp(df, REGION, (1994, 1997))),
     B + f""" SELECT State, Datetime, {S.median('AQI_Final')} AS Median_AQI,
-      CAST(CASE WHEN month(Datetime) * 100 + day(Datetime) BETWEEN 1015 AND 1130 THEN 1 ELSE 0 END AS INTEGER) AS InBurnWindow
+      CAST(CASE WHEN month(Datetime) * 100 + day(Datetime) BETWEEN 1015 AND 1130
+      AND year(Datetime) BETWEEN 1994 AND 1997 THEN 1 ELSE 0 END AS INTEGER) AS InBurnWindow
     FROM aqi WHERE State IN {S.BURN_CHART} AND Month IN (9, 10, 11, 12) GROUP BY State, Datetime""",
 )
 check(
-    "burn_daily", on("daily", "indexed", lambda df: eda.burn_daily(df, "PM25")),
-    B + f" SELECT State, CAST(Datetime AS DATE) AS Date, {S.median('PM25')} AS Median_PM25 FROM aqi WHERE Month IN (9, 10, 11, 12) AND PM25 IS NOT NULL GROUP BY ALL",
+    "burn_daily", on("daily", "indexed", lambda df: eda.burn_daily(df, "PM25", None)),
+    B + f" SELECT State, CAST(Datetime AS DATE) AS Date, {S.median('PM25')} AS Median_PM25,
+      CAST(CASE WHEN month(Date) * 100 + day(Date) BETWEEN 1015 AND 1130 THEN 1 ELSE 0 END AS INTEGER) AS InBurnWindow FROM aqi WHERE Month IN (9, 10, 11, 12) AND PM25 IS NOT NULL GROUP BY ALL",
 )
 check(
     "burn_window_flag",

@@ -48,7 +48,8 @@ def load_and_preprocess(
     if save_path is None:
         return df
     tables.write_table(df, save_path)
-    return spark.read.parquet(save_path)
+    # Partition columns come back last; the panel has an order of its own.
+    return spark.read.parquet(save_path).select(*df.columns)
 
 
 def load_index_table(
@@ -74,7 +75,7 @@ def run(
     cleaned = load_and_preprocess(spark, readings_path, stations_path, f"{out}/clean", region)
     table = aqi.dominant_pollutant(aqi.calculate(cleaned))
     tables.write_table(table, f"{out}/aqi")
-    table = tables.read_aqi(spark, f"{out}/aqi")
+    table = tables.read_aqi(spark, f"{out}/aqi").select(*table.columns)
     analyses = eda.run_all(table, region)
     made = features.engineer(table, region)
     names = features.columns(made, region)

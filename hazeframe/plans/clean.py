@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import CORE_POLLUTANTS, ID_COLUMNS, NORTH_INDIA, POLLUTANTS, Region
 from ..functions.calendar import calendar_parts, crop_burning
@@ -20,6 +21,8 @@ from ..sources.tables import ORDINAL, checkpoint
 
 KEY = ("StationId",)
 SERIES_ORDER = ("Datetime",)
+# Besides ISO; the day stands first where a text leaves it open.
+TIME_FORMATS = ("dd-MM-yyyy HH:mm[:ss]", "dd/MM/yyyy HH:mm[:ss]", "dd-MM-yyyy", "dd/MM/yyyy", "yyyy/MM/dd HH:mm[:ss]")
 
 
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -42,12 +45,28 @@ def filter_states(df: DataFrame, states: Sequence[str] = NORTH_INDIA.states) ->
     return df.where(F.col("State").isin(*states))
 
 
-def parse_datetime(df: DataFrame) -> DataFrame:
-    """``Datetime`` (or ``Date``) as a zone-free timestamp; bad ones drop out."""
+def moment_of(name: str, formats: Sequence[str] = TIME_FORMATS) -> Column:
+    """Text as a zone-free timestamp: ISO, else the first format that fits; else null."""
+    tried = [F.try_to_timestamp(F.col(name).cast("string"), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(F.col(name).try_cast("timestamp_ntz"), *tried)
+
+
+def parse_datetime(df: DataFrame, formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
+    """``Datetime`` (or ``Date``) as a zone-free timestamp; bad ones drop out.
+
+    ``lost_times`` counts those that will.
+    """
     name = "Datetime" if "Datetime" in df.columns else "Date"
     df = df.withColumnRenamed(name, "Datetime")
-    moment = F.col("Datetime").try_cast("timestamp_ntz")
-    return df.withColumn("Datetime", moment).where(F.col("Datetime").isNotNull())
+    if not isinstance(df.schema["Datetime"].dataType, T.StringType):
+        formats = ()
+    return df.withColumn("Datetime", moment_of("Datetime", formats)).where(F.col("Datetime").isNotNull())
+
+
+def lost_times(df: DataFrame, formats: Sequence[str] = TIME_FORMATS) -> int:
+    """Rows whose time no format fits, and so are dropped."""
+    name = "Datetime" if "Datetime" in df.columns else "Date"
+    return df.where(F.col(name).isNotNull() & moment_of(name, formats).isNull()).count()
 
 
 def add_calendar(df: DataFrame, region: Region = NORTH_INDIA) -> DataFrame:
@@ -56,6 +75,12 @@ def add_calendar(df: DataFrame, region: Region = NORTH_INDIA) -> DataFrame:
     return df.withColumn("CropBurning", crop_burning(F.col("Month"), F.col("State"), region.burning))
 
 
+def fill_order(df: DataFrame, tie: Sequence[str] | None = None) -> list[str]:
+    """Order of a station's rows; copies of one time without a tie-break are ordered by their values."""
+    ties = tie_break(df, tie) or present(df, [*POLLUTANTS, "AQI"])
+    return [*SERIES_ORDER, *ties]
+
+
 def impute(
     df: DataFrame,
     tie: Sequence[str] | None = None,
@@ -63,7 +88,7 @@ def impute(
     segmented: bool = False,
 ) -> DataFrame:
     """Fill per station, clip at 0, drop rows without any core pollutant."""
-    order = [*SERIES_ORDER, *tie_break(df, tie)]
+    order = fill_order(df, tie)
     if not segmented:
         df = segments.split_hot(df, KEY, order)
     cols = present(df, POLLUTANTS)
@@ -108,8 +133,8 @@ def preprocess(
     joined = filter_states(attach_stations(readings, stations), region.states)
     dated = add_calendar(parse_datetime(joined), region)
     ties = tie_break(dated, tie)
-    dated = segments.split_hot(dated, KEY, [*SERIES_ORDER, *ties])
-    filled = impute(dated, ties, segmented=True)
+    dated = segments.split_hot(dated, KEY, fill_order(dated, tie))
+    filled = impute(dated, tie, segmented=True)
     clean = finalise(dedup(filled, ties), drop=[*ORDINAL, *ties])
     if segments.SEG not in clean.columns:
         return clean

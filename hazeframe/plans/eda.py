@@ -206,21 +206,25 @@ def category_counts(df: DataFrame) -> DataFrame:
 
 # --- burning season -----------------------------------------------------------
 
-def burn_by_timestamp(df: DataFrame, region: Region = NORTH_INDIA) -> DataFrame:
+Years = tuple[int, int] | None
+
+
+def burn_by_timestamp(df: DataFrame, region: Region = NORTH_INDIA, years: Years = BURN_WINDOW_YEARS) -> DataFrame:
     """Median per state and time stamp in the burning months, with the window flag."""
     season = df.where(F.col("State").isin(*region.burn_chart) & F.col("Month").isin(*BURN_CHART_MONTHS))
     out = dist.median(season, ["State", "Datetime"], AQI, "Median_AQI", DIGITS)
-    return out.withColumn("InBurnWindow", in_burn_window(F.col("Datetime")))
+    return out.withColumn("InBurnWindow", in_burn_window(F.col("Datetime"), years))
 
 
-def burn_daily(df: DataFrame, col: str = AQI) -> DataFrame:
-    """Daily median of a column per state in the burning months."""
+def burn_daily(df: DataFrame, col: str = AQI, years: Years = BURN_WINDOW_YEARS) -> DataFrame:
+    """Daily median of a column per state in the burning months, with the window flag."""
     season = df.where(F.col("Month").isin(*BURN_CHART_MONTHS))
     dated = season.withColumn("Date", F.to_date("Datetime"))
-    return dist.median(dated, ["State", "Date"], col, f"Median_{col}", DIGITS)
+    out = dist.median(dated, ["State", "Date"], col, f"Median_{col}", DIGITS)
+    return out.withColumn("InBurnWindow", in_burn_window(F.col("Date"), years))
 
 
-def burn_window_flag(df: DataFrame, years: tuple[int, int] | None = BURN_WINDOW_YEARS) -> DataFrame:
+def burn_window_flag(df: DataFrame, years: Years = BURN_WINDOW_YEARS) -> DataFrame:
     return df.withColumn("InBurnWindow", in_burn_window(F.col("Datetime"), years))
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazeframe.operators import lookup, panel, segments
-from hazeframe.plans import aqi, clean, features
+from hazeframe.plans import aqi, batch, clean, features
 from hazeframe.sources import tables
 
 from .helpers import bag
@@ -102,3 +102,31 @@ def test_public_path_is_the_same_for_any_cut(spark):
             spark.conf.unset(segments.SEGMENT_ROWS)
 
     assert run(4) == run(20) == run(4_000_000)
+
+
+def test_usual_time_texts_are_read(spark):
+    texts = ["2020-01-02 05:00:00", "02-01-2020 05:00", "02/01/2020 05:00:00", "2020/01/02 05:00", "soon", None]
+    df = spark.createDataFrame([("S", t) for t in texts], "StationId string, Datetime string")
+    assert {r["Datetime"] for r in clean.parse_datetime(df).collect()} == {datetime(2020, 1, 2, 5)}
+    assert clean.parse_datetime(df).count() == 4 and clean.lost_times(df) == 1 and clean.lost_times(df, ()) == 4
+
+
+def test_saved_panel_keeps_its_column_order(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("StationId,Datetime,PM2.5\nS,2020-01-01 05:00:00,3\n")
+    (tmp_path / "s.csv").write_text("StationId,StationName,City,State,Status\nS,n,c,Delhi,x\n")
+    paths = str(tmp_path / "r.csv"), str(tmp_path / "s.csv")
+    plain = batch.load_and_preprocess(spark, *paths)
+    saved = batch.load_and_preprocess(spark, *paths, save_path=str(tmp_path / "out"))
+    assert saved.columns == plain.columns and bag(saved) == bag(plain)
+
+
+def test_a_table_that_cannot_be_read_is_left_alone(spark, tmp_path):
+    damaged = tmp_path / "damaged"
+    damaged.mkdir()
+    (damaged / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="parquet|Parquet"):
+        tables.load_or_build(spark, str(damaged), lambda: spark.range(1)).count()
+    assert (damaged / "part-0.parquet").read_text() == "no parquet"
+    csv = tmp_path / "csv"
+    spark.createDataFrame([("S", "2020-01-01 05:00:00", "7")], "StationId string, Datetime string, AQI string").write.csv(str(csv), header=True)
+    assert tables.load_or_build(spark, str(csv), lambda: spark.range(1)).first()["AQI"] == 7.0
