@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -30,6 +31,13 @@ HEADLINE = [
     "correlation_daily",
     "pollutant_histograms",
     "temporal_split",
+    "pollutant_densities",
+    "quality_profile",
+    "aqi_lags",
+    "burn_by_timestamp",
+    "ml_linear",
+    "ml_forest",
+    "ml_boosted",
 ]
 
 
@@ -44,6 +52,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

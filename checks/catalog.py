@@ -336,8 +336,9 @@ check(
 )
 check(
     "burn_daily", on("daily", "indexed", lambda df: eda.burn_daily(df, "PM25", None)),
-    B + f" SELECT State, CAST(Datetime AS DATE) AS Date, {S.median('PM25')} AS Median_PM25,
-      CAST(CASE WHEN month(Date) * 100 + day(Date) BETWEEN 1015 AND 1130 THEN 1 ELSE 0 END AS INTEGER) AS InBurnWindow FROM aqi WHERE Month IN (9, 10, 11, 12) AND PM25 IS NOT NULL GROUP BY ALL",
+    B + f""" SELECT *, CAST(CASE WHEN month(Date) * 100 + day(Date) BETWEEN 1015 AND 1130 THEN 1 ELSE 0 END AS INTEGER) AS InBurnWindow
+    FROM (SELECT State, CAST(Datetime AS DATE) AS Date, {S.median('PM25')} AS Median_PM25 FROM aqi
+      WHERE Month IN (9, 10, 11, 12) AND PM25 IS NOT NULL GROUP BY ALL)""",
 )
 check(
     "burn_window_flag",

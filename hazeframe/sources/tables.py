@@ -180,8 +180,9 @@ def release(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``."""
+    """A folder that the driver and all executors share: ``spark.checkpoint.dir``.
+
+    Where that is not set, a folder in the warehouse, which is shared as well.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/hazeframe-scratch"
