@@ -7,7 +7,7 @@ class from then on.  Two kinds of MinHash samples are taken from a class:
 * one minimum per bin of a single hash, folded into a parity bitmap (the odd
   sketch).  The population count of the XOR of two bitmaps estimates how many
   samples differ, and sharply so where most agree.  A pair goes on unless its
-  count is six standard deviations off what the threshold allows.
+  count is five standard deviations off what the threshold allows.
 
 In a bucket, classes are compared with one hub per band first; links found there
 make components, and after that only pairs across components are compared, in
@@ -29,10 +29,12 @@ from .components import components
 
 BANDS = 32
 ROWS = 4
-BINS = 1024
-BITS = 2048
+BINS = 4096
+BITS = 4096
+# Standard deviations that a sketch may be off before a pair is sifted out.
+DEVIATIONS = 5
 # Hubs that a class is compared with at first, by their sketches' nearness.
-NEAREST = 3
+NEAREST = 8
 # Members of a bucket on one side of a block of comparisons.
 BLOCK = 1000
 # Shingles whose minima are taken at a time.
@@ -80,8 +82,9 @@ def _bands(found: np.ndarray) -> np.ndarray:
 
 def _odd_sketch(found: np.ndarray) -> tuple[np.ndarray, int]:
     """One minimum per bin, folded into a bitmap of parities; and the bins in use."""
-    ranked = np.sort(((found % np.uint64(BINS)) << np.uint64(54)) | (found >> np.uint64(10)))
-    bins = ranked >> np.uint64(54)
+    # The bin in the upper 12 bits, what ranks within it below.
+    ranked = np.sort(((found % np.uint64(BINS)) << np.uint64(52)) | (found >> np.uint64(12)))
+    bins = ranked >> np.uint64(52)
     lowest = ranked[np.append(True, bins[1:] != bins[:-1])]
     odd = np.bincount((common.mix(lowest) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64), len(lowest)
@@ -115,7 +118,7 @@ def _differing(one: str, two: str) -> Column:
 
 
 def _allowed(share: float) -> Column:
-    """Samples that may differ when the sets are as similar as asked, with six deviations.
+    """Samples that may differ when the sets are as similar as asked, with ``DEVIATIONS``.
 
     Columns: set sizes ``n``, ``n2``; bins in use ``filled``, ``filled2``.
     """
@@ -128,8 +131,8 @@ def _allowed(share: float) -> Column:
     # Sampling: none while every shingle has a bin of its own.
     sampled = 4 * share * (1 - share) * bins * F.greatest(F.lit(0.0), 1 - bins / union)
     folded = F.exp(4 * differ / BITS) * (BITS / 4) * (1 - F.exp(-4 * differ / BITS)) - differ
-    spread = F.sqrt(sampled + F.greatest(F.lit(0.0), folded) + 1)
-    return differ + 6 * spread + 0.02 * bins
+    spread = F.sqrt(sampled + F.greatest(F.lit(0.0), folded) + 0.25)
+    return differ + DEVIATIONS * spread + 0.005 * bins + 1
 
 
 def _similar_sizes(percent: int) -> Column:
@@ -199,7 +202,7 @@ def near_duplicates(
     Other columns are not looked at.  An empty table gives no rows.
 
     A pair exactly at the threshold of 80 meets in no band with a probability of
-    5e-8, and is sifted out with about 1e-9.
+    5e-8, and is sifted out with about 3e-7.
     """
     share = percent / 100
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -237,13 +240,15 @@ def near_duplicates(
     named = _labelled(full.select("node", "key"), labels)
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
     mixed = mixed.where("low != high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    across = common.store(named.join(mixed, "key").join(sketches, "node"), "across")
+    across = common.store(named.join(mixed, "key").join(classes.select("node", "n", "filled", "sketch", "bands"), "node"), "across")
     left = across.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("blocks")
     right = across.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    right = right.toDF("node2", "key", "label2", "n2", "filled2", "sketch2", "block")
+    right = right.toDF("node2", "key", "label2", "n2", "filled2", "sketch2", "bands2", "block")
     differ = F.coalesce(_differing("sketch", "sketch2"), F.lit(math.inf))
     meet = (left["key"] == right["key"]) & (left["block"] == right["block"]) & (F.col("label") < F.col("label2"))
-    rest = left.join(right, meet & _similar_sizes(percent) & (differ <= _allowed(share)))
+    # A pair that shares many buckets is looked at in one of them.
+    once = F.array_min(F.array_intersect("bands", "bands2")) == left["key"]
+    rest = left.join(right, meet & _similar_sizes(percent) & (differ <= _allowed(share)) & once)
     rest = rest.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
     ends = _ends(_links(rest, texts, width, percent), labels)
     joined = components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b"))).toDF("label", "joined")
