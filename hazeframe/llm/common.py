@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -19,10 +20,12 @@ _STORED: list[str] = []
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that the driver and all executors share."""
-    path = f"{tables.shared_folder(spark)}/hazeframe-llm-{label}-{uuid.uuid4().hex}"
-    _STORED.append(path)
-    return path
+    """The URI of a new path in the folder that the driver and all executors share."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{tables.shared_folder(spark)}/hazeframe-llm-{label}-{uuid.uuid4().hex}")
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    uri = re.sub("^file:/+", "file:///", uri)
+    _STORED.append(uri)
+    return uri
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -126,14 +129,14 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np
     return mix(out)
 
 
-_WORD = np.where(SPACE, np.uint64(0), _BYTE)
-_WORD_LOWER = _WORD[LOWER]
+WORD = np.where(SPACE, np.uint64(0), _BYTE)
+_WORD_LOWER = WORD[LOWER]
 
 
 def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+``: their starts, hashes, and the first word of each text."""
     starts, ends = spans(~SPACE[data], bounds)
-    hashes = hash_spans(data, starts, ends, _WORD_LOWER if lower else _WORD)
+    hashes = hash_spans(data, starts, ends, _WORD_LOWER if lower else WORD)
     return starts, hashes, np.searchsorted(starts, bounds)
 
 

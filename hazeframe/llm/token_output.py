@@ -32,7 +32,7 @@ from . import common
 LENGTH = 2048
 ROWS = 128
 # Words whose ids a worker keeps; beyond that it begins anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 1_500_000
 # New words that are encoded as one text.
 TOGETHER = 500
 
@@ -44,8 +44,8 @@ _READ_SQL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class Encoder:
     """Texts to ids as little-endian bytes.
 
-    Where a tokenizer never joins what a space or line end parts, each word is
-    encoded once and looked up later; ``by_word`` says so (default: tried out).
+    Where a tokenizer never joins what white space parts, each word is encoded once
+    and looked up later; ``by_word`` says so (default: tried out).
     Words of letters are then encoded many at a time, without case and a full stop
     or comma behind them, if trials show that the tokenizer treats these apart and
     its vocabulary marks the ends of words.
@@ -57,8 +57,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.width = id_type(self.tokenizer.get_vocab_size())
-        probes = ["a b", "ab  cd", " x", "x\ny ", "\n\n", "Ab, c's 12 3."]
-        self.by_word = all(self._plain([p])[0] == b"".join(self._plain(_parts(p))) for p in probes) if by_word is None else by_word
+        probes = ["a b", "ab  cd", " x", "x\ny ", "\n\n", "a\tb\x0bc\x0cd\r\ne", "Ab, c's 12 3."]
+        self.by_word = all(self._plain([p])[0] == b"".join(self._plain(p.split())) for p in probes) if by_word is None else by_word
         suffix = json.loads(spec)["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -68,8 +68,15 @@ class Encoder:
         self.simple = bool(suffix) and all(
             self._plain([w + t])[0] == self._plain([w.lower() if w.isascii() else w])[0] + self.tails[t] for w, t in trials
         )
-        self.known: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words known so far: their numbers, and by number where their ids stand."""
+        self.known: dict[bytes, int] = {}
+        self.flat = np.empty(1 << 16, self.width)
+        self.begin = np.empty(1 << 14, np.int64)
+        self.size = np.empty(1 << 14, np.int64)
+        self.used = 0
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -85,33 +92,80 @@ class Encoder:
         bounds = [0, *(last * size).tolist()]
         return [data[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        plain, simple = [], []
-        for w in new:
-            tail = w[-1] if w[-1] in ".," else ""
-            core = w[: len(w) - len(tail)]
+    def _ids_of(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words, and of the words of letters that are in them."""
+        parts, plain = {}, []
+        for w in words:
+            text = w.decode()
+            tail = text[-1] if text[-1] in ".," else ""
+            core = text[: len(text) - len(tail)]
             if self.simple and core.isalpha():
-                simple.append((w, core.lower() if core.isascii() else core, tail))
+                parts[w] = (core.lower() if core.isascii() else core).encode(), tail
             else:
                 plain.append(w)
-        cores = list({core for _, core, _ in simple} - self.cores.keys())
-        for at in range(0, len(cores), TOGETHER):
-            part = cores[at : at + TOGETHER]
-            self.cores.update(zip(part, self._together(part), strict=True))
-        for w, core, tail in simple:
-            self.known[w] = self.cores[core] + self.tails[tail] if tail else self.cores[core]
-        self.known.update(zip(plain, self._plain(plain), strict=True))
+        out = dict(zip(plain, self._plain([w.decode() for w in plain]), strict=True))
+        cores = {core for core, _ in parts.values()}
+        new = list(cores - self.known.keys())
+        ids = {core: self._known_ids(core) for core in cores & self.known.keys()}
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            ids.update(zip(some, self._together([c.decode() for c in some]), strict=True))
+        out.update((core, ids[core]) for core in new)
+        out.update((w, ids[core] + self.tails[tail]) for w, (core, tail) in parts.items())
+        return out
+
+    def _known_ids(self, word: bytes) -> bytes:
+        n = self.known[word]
+        return self.flat[self.begin[n] : self.begin[n] + self.size[n]].tobytes()
+
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words, which are learnt where they are new."""
+        if len(self.known) > KNOWN_WORDS:
+            self._forget()
+        new = [w for w in words if w not in self.known]
+        if new:
+            found = self._ids_of(new)
+            ids = np.frombuffer(b"".join(found.values()), self.width)
+            sizes = np.array([len(f) for f in found.values()], np.int64) // self.width.itemsize
+            first, last = len(self.known), len(self.known) + len(found)
+            self.flat = _room(self.flat, self.used + len(ids))
+            self.begin, self.size = _room(self.begin, last), _room(self.size, last)
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.begin[first:last] = self.used + np.cumsum(sizes) - sizes
+            self.size[first:last] = sizes
+            self.used += len(ids)
+            self.known.update(zip(found, range(first, last), strict=True))
+        return np.array([self.known[w] for w in words], np.int64)
+
+    def encode_buffer(self, data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """Ids of the texts in a buffer.  Words of a buffer are grouped by 64-bit hashes."""
+        if not self.by_word:
+            return self._plain([data[i:j].tobytes().decode() for i, j in zip(bounds, bounds[1:], strict=False)])
+        starts, ends = common.spans(~common.SPACE[data], bounds)
+        if not len(starts):
+            return [b""] * (len(bounds) - 1)
+        hashes = common.hash_spans(data, starts, ends, common.WORD)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        head = np.append(True, ranked[1:] != ranked[:-1])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(head) - 1
+        one = order[head]
+        whole = data.tobytes()
+        numbers = self._numbers([whole[i:j] for i, j in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])[group]
+        sizes = self.size[numbers]
+        stops = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.begin[numbers] - stops + sizes, sizes) + np.arange(stops[-1])]
+        cuts = np.append(0, stops)[np.searchsorted(starts, bounds)].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._plain(texts)
-        parts = [_parts(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {"": b""}
-        if len(self.cores) > KNOWN_WORDS:
-            self.cores = {}
-        self._learn(set().union(*parts) - self.known.keys())
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        return self.encode_buffer(*common.text_buffer(pa.array(texts, pa.string())))
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for ``size`` entries."""
+    return array if size <= len(array) else np.concatenate([array, np.empty(max(size, 2 * len(array)) - len(array), array.dtype)])
 
 
 # A worker process keeps its encoder from task to task.
@@ -125,10 +179,6 @@ def encoder_of(spec: str) -> Encoder:
     return _encoders[spec]
 
 
-def _parts(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
-
-
 def id_type(vocabulary: int) -> np.dtype:
     """The least little-endian type that holds all ids."""
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
@@ -182,12 +232,11 @@ def _writer(spec: str, end_id: int, path: str, length: int, rows: int):
         file = f"{path}/shard-{number:06d}-{uuid.uuid4().hex}.arrow"
         shard = None
         for batch in batches:
-            for row, _, bounds in common.chunks(batch.column(1)):
+            for row, data, bounds in common.chunks(batch.column(1)):
                 shard = shard or _Shard(file, width, length, rows)
                 n = len(bounds) - 1
                 offsets, counts = [], []
-                texts = [t or "" for t in batch.column(1).slice(row, n).to_pylist()]
-                for ids in encoder.encode(texts):
+                for ids in encoder.encode_buffer(data, bounds):
                     if width != encoder.width:
                         ids = np.frombuffer(ids, encoder.width).astype(width).tobytes()
                     offsets.append(shard.total)
@@ -305,7 +354,6 @@ def read_tokens(index: DataFrame, rows: int = ROWS) -> DataFrame:
 def token_digests(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Write token files to the shared folder, read them back: a row per document."""
     path = common.folder(spark, "tokens")
-    path = path if "://" in path else f"file://{path}"
     store, place = fs.FileSystem.from_uri(path)
     store.create_dir(place)
     return read_tokens(write_tokens(docs, path, tokenizer, end_id))

@@ -203,7 +203,6 @@ def read_warc(index: DataFrame, payloads: bool = True) -> DataFrame:
 def archive(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write archives to the shared folder and read all records back."""
     path = common.folder(spark, "warc")
-    path = path if "://" in path else f"file://{path}"
     store, place = fs.FileSystem.from_uri(path)
     store.create_dir(place)
     return read_warc(write_warc(pages, path), payloads=False).drop("payload")
