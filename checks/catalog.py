@@ -757,16 +757,16 @@ def _tree_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed = ml.importance(model, spark, len(names))
         weights = listed.agg(F.round(F.sum("Importance"), 6).alias("w"), F.countDistinct("Feature").alias("f")).first()
         rows.append(ml.score(model, test, which).agg(
-            F.lit(which).alias("Model"), F.count(p).alias("Rows"), F.min(p.between(0, 500)).alias("InBounds"),
-            (F.avg((p - t) * (p - t)) < F.avg((t - mean) * (t - mean))).alias("BetterThanMean"),
-            F.lit(weights["w"]).alias("ImportanceSum"), F.lit(weights["f"] == len(names)).alias("EachFeatureOnce")))
+            F.lit(which).alias("Model"), F.count(p).alias("Rows"), F.min(p.between(0, 500).cast("int")).alias("InBounds"),
+            (F.avg((p - t) * (p - t)) < F.avg((t - mean) * (t - mean))).cast("int").alias("BetterThanMean"),
+            F.lit(weights["w"]).alias("ImportanceSum"), F.lit(int(weights["f"] == len(names))).alias("EachFeatureOnce")))
     return rows[0].unionByName(rows[1])
 
 
 check(
     "ml_tree_invariants", _tree_invariants,
-    SPLIT + " SELECT m AS Model, (SELECT count(*) FROM test) AS Rows, true AS InBounds, true AS BetterThanMean, "
-    "CAST(1 AS DOUBLE) AS ImportanceSum, true AS EachFeatureOnce FROM (VALUES ('Random Forest'), ('Boosted Trees')) AS v(m)",
+    SPLIT + " SELECT m AS Model, (SELECT count(*) FROM test) AS Rows, CAST(1 AS INTEGER) AS InBounds, CAST(1 AS INTEGER) AS BetterThanMean, "
+    "CAST(1 AS DOUBLE) AS ImportanceSum, CAST(1 AS INTEGER) AS EachFeatureOnce FROM (VALUES ('Random Forest'), ('Boosted Trees')) AS v(m)",
 )
 check("ml_cv_boosted", _cv_boosted)
 
