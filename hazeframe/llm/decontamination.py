@@ -30,6 +30,9 @@ LITERALS = 50
 # Bits of the filter for each window of the benchmark, and in all.
 BITS_EACH = 16
 BITS_MOST = 1 << 27
+# What a window of a text and one of an item must have in common, and the items of a window that are joined in one share.
+KEY = ["hash", "pattern", "width"]
+SHARE = 1000
 
 # Words for numbers, units, and words that are no names though they begin sentences.
 NUMBER_WORDS = (
@@ -208,8 +211,8 @@ def decontaminate(
     A text is contaminated if it has a window of ``width`` tokens of an item (the whole
     item, if that is shorter; items of under five tokens are not looked for), word by
     word or with other numbers, names and units in consistent places.  ``items`` names
-    the least item of each window found, ``n_windows`` counts the windows,
-    ``reparameterised`` says that some were found with other values.
+    every item found, ``n_windows`` counts the windows of the text, each once however
+    many items have it, ``reparameterised`` says that some were found with other values.
 
     Null and empty texts are clean.  Rows are judged by their text, so repeated and null
     ids are no matter; null item ids match and are not named.  Other columns are not
@@ -217,23 +220,27 @@ def decontaminate(
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text"))
-    known = common.store(items.mapInArrow(_item_windows(width), _WINDOW_SQL), "item-windows")
-    # One item for each window: a window that many items share is still one.
-    one = F.min(F.struct(F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))).alias("one")
-    known = common.store(known.groupBy("hash", "pattern", "width").agg(one).select("hash", "pattern", "width", "one.*"), "templates")
-    widths = sorted(r[0] for r in known.select("width").distinct().collect())
-    bits = 1 << max(10, min(BITS_MOST, known.count() * BITS_EACH).bit_length())
+    words_of = F.coalesce(F.col(item_text_col).cast("string"), F.lit(""))
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), words_of.alias("text"), F.xxhash64(words_of).alias("item"))
+    # Items of one text are looked for once.
+    known = common.store(items.select("item", "text").distinct().mapInArrow(_item_windows(width), _WINDOW_SQL), "item-windows")
+    keys = common.store(known.groupBy(*KEY).agg(F.count("*").alias("n")), "templates")
+    widths = sorted(r[0] for r in keys.select("width").distinct().collect())
+    bits = 1 << max(10, min(BITS_MOST, keys.count() * BITS_EACH).bit_length())
     bits = min(bits, BITS_MOST)
-    words = spark.sparkContext.broadcast(_filter_words(known, bits))
-    found = rows.select("text_key", "text").mapInArrow(_document_windows(widths, words, bits), _WINDOW_SQL)
-    found = found.withColumnRenamed("id", "text_key").join(known, ["hash", "pattern", "width"])
-    found = common.store(found.drop("hash", "pattern").distinct(), "hits")
+    words = spark.sparkContext.broadcast(_filter_words(keys, bits))
+    hits = rows.select("text_key", "text").mapInArrow(_document_windows(widths, words, bits), _WINDOW_SQL)
+    hits = common.store(hits.withColumnRenamed("id", "text_key").join(keys, KEY).distinct(), "hits")
+    # Every item that has the window; one that very many have is dealt into shares.
+    shares = F.ceil(F.col("n") / SHARE)
+    dealt = known.join(keys, KEY).withColumn("share", F.pmod(F.xxhash64("id", "place"), shares))
+    dealt = dealt.select(*KEY, "share", F.col("id").alias("item"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    found = hits.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1))).join(dealt, [*KEY, "share"])
+    found = common.store(found.drop("hash", "pattern", "n", "share"), "found")
 
     # One alignment of a text and an item: values of slots against each other.
-    where = ["text_key", "item", "named", "shift"]
+    where = ["text_key", "item", "shift"]
     found = found.withColumn("shift", F.col("place") - F.col("item_place"))
-    found = found.withColumn("named", F.col("item").isNotNull()).withColumn("item", F.coalesce("item", F.lit(0)))
     slots = found.select(*where, "plain", "place", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("slot"))
     value, other = F.col("slot.item_slots"), F.col("slot.slots")
     by_value = slots.groupBy(*where, value.alias("value")).agg(
@@ -241,12 +248,13 @@ def decontaminate(
     )
     fits = F.coalesce(F.col("low") == F.col("high"), F.lit(True))
     aligned = by_value.groupBy(*where).agg(F.min(fits).alias("fits"), F.max("plain").alias("plain"), F.min("same").alias("same"))
-    counted = found.groupBy(*where).agg(F.countDistinct("place").alias("windows"))
     # Words that match as they are need no slots.
-    good = aligned.where("fits OR plain").join(counted, where)
-    verdicts = good.groupBy("text_key").agg(
-        F.array_sort(F.collect_set(F.when(F.col("named"), F.col("item")))).alias("items"), F.sum("windows").alias("n_windows"), F.max(~F.col("same") & ~F.col("plain")).alias("other")
-    )
+    good = common.store(aligned.where("fits OR plain"), "aligned")
+    windows = found.join(good.select(*where), where).select("text_key", "place", "width").distinct()
+    counted = windows.groupBy("text_key").agg(F.count("*").alias("n_windows"))
+    names = good.select("text_key", "item").distinct().join(items.select("item", "item_id").distinct(), "item")
+    names = names.groupBy("text_key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    verdicts = good.groupBy("text_key").agg(F.max(~F.col("same") & ~F.col("plain")).alias("other")).join(counted, "text_key").join(names, "text_key")
     out = rows.select("doc_id", "text_key").join(common.store(verdicts, "verdicts"), "text_key", "left")
     none = F.array().cast("array<long>")
     return out.select(

@@ -113,3 +113,18 @@ def test_clean_rows_stay_with_their_columns(spark):
     kept = keep_clean(spark, df, items)
     assert kept.columns == df.columns and sorted(r["hash"] for r in kept.collect()) == [1, 3, 4]
     assert keep_clean(spark, df, items.limit(0)).count() == 5 and decontaminate(spark, df.limit(0), items).count() == 0
+
+
+def test_every_item_of_a_template_is_tried(spark):
+    words = [f"{a}{b}" for a in "abcdef" for b in "klmnop"]
+    family = lambda *slots: " ".join(f"{' '.join(words[12 * k : 12 * k + 12])} {v}" for k, v in enumerate(slots))
+    # No window spans two slots, so the items' windows are all alike; one value of an item can't stand for two
+    # (item 1 is in text 2 word by word, up to its last slot).
+    items = [(1, family(3, 4, 3)), (2, family(3, 4, 5)), (3, family(3, 4, 5)), (None, family(5, 5, 5)), (None, family(5, 6, 7)), (4, family(1, 1, 1)), (4, family(1, 1, 2))]
+    docs = [(0, family(8, 9, 6)), (1, family(8, 9, 8)), (2, family(3, 4, 5)), (3, family(8, 8, 8)), (4, family(8, 8, 6))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate(spark, df, bench).collect()}
+    assert [got[k]["items"] for k in range(5)] == [[2, 3], [1, 2, 3], [1, 2, 3], [1, 2, 3, 4], [2, 3, 4]]
+    assert all(r["contaminated"] and r["n_windows"] == 27 for r in got.values())
+    assert [got[k]["reparameterised"] for k in range(5)] == [True, True, True, True, True]
