@@ -175,5 +175,5 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lines=True)
     return found.select("doc_id", "contaminated", "items", "n_windows", "reparameterised")

@@ -128,3 +128,23 @@ def test_every_item_of_a_template_is_tried(spark):
     assert [got[k]["items"] for k in range(5)] == [[2, 3], [1, 2, 3], [1, 2, 3], [1, 2, 3, 4], [2, 3, 4]]
     assert all(r["contaminated"] and r["n_windows"] == 27 for r in got.values())
     assert [got[k]["reparameterised"] for k in range(5)] == [True, True, True, True, True]
+
+
+def test_items_of_few_words_and_short_ones(spark):
+    dense = "Alice has 3 apples, Bob 4, Carol 5, Dan 6 and Eve 7"
+    longer = "take 1 2 3 4 from 5 6 7 8 with 9 10 11 12 for 13 14 15 16 or 17 18 19 20 until 21 22 23 24 comes 25 26 27 28 last 29 30"
+    items = [(1, dense), (2, longer), (3, "Yes indeed"), (4, "Wie viele Äpfel kauft Anna Schmidt Paul Meier 3 Birnen 4"), (5, "1 2 3 4 5 6 7 8 9 10 11 12 13 14")]
+    other = dense.replace("Alice", "Gus").replace("Bob", "Hal").replace("3", "13").replace("7", "17")
+    part = "take 51 52 53 54 from 55 56 57 58 with 59 60 61 62 for 63 64 65 66 or 67 68 69 70 until 71 72 73 74 comes"
+    texts = [
+        dense, "so it is that " + other + " they say", other.replace("apples", "pears"), other.replace("Dan", "Hal"), other[: other.index(" and")],
+        longer, part, part.replace("70", "51"), part[: part.index(" comes")], "a line\nYes, indeed!\nmore of it", "Yes indeed it is", "YES\nindeed", "\n",
+        "Wie viele Birnen kauft Otto Weber Max Huber 8 Kilo 9", " ".join(map(str, range(50, 80))),
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = decontaminate(spark, df, spark.createDataFrame(items, "item_id long, text string"), lines=True)
+    got = {r["doc_id"]: (r["items"], r["reparameterised"]) for r in found.collect()}
+    clean = ([], False)
+    # Longer spans and whole items decide; numbers alone match only as they are.
+    assert [got[k] for k in range(9)] == [([1], False), ([1], True), clean, clean, clean, ([2], False), ([2], True), clean, clean]
+    assert [got[k] for k in range(9, 15)] == [([3], False), clean, ([3], False), clean, ([4], True), clean]
