@@ -49,6 +49,7 @@ _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 _SIGNATURE = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("text_key", pa.int64()),
         ("n", pa.int64()),
         ("node", pa.int64()),
         ("check", pa.int64()),
@@ -57,7 +58,7 @@ _SIGNATURE = pa.schema(
         ("bands", pa.list_(pa.int64())),
     ]
 )
-_SIGNATURE_SQL = "doc_id long, n long, node long, check long, filled int, sketch array<long>, bands array<long>"
+_SIGNATURE_SQL = "doc_id long, text_key long, n long, node long, check long, filled int, sketch array<long>, bands array<long>"
 
 
 def _digest(found: np.ndarray) -> tuple[np.int64, np.int64]:
@@ -93,8 +94,8 @@ def _odd_sketch(found: np.ndarray) -> tuple[np.ndarray, int]:
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for row, data, bounds in common.chunks(batch.column(1)):
+            ids, keys = batch.column(0), batch.column(1)
+            for row, data, bounds in common.chunks(batch.column(2)):
                 _, hashes, at = common.words(data, bounds, lower=True)
                 rows = []
                 for k in range(len(bounds) - 1):
@@ -105,7 +106,7 @@ def _signatures(width: int):
                     else:
                         rows.append((0, 0, 0, 0, None, None))
                 columns = list(zip(*rows, strict=True))
-                yield pa.record_batch([ids.slice(row, len(rows)), *[pa.array(c, f.type) for c, f in zip(columns, list(_SIGNATURE)[1:], strict=True)]], schema=_SIGNATURE)
+                yield pa.record_batch([ids.slice(row, len(rows)), keys.slice(row, len(rows)), *[pa.array(c, f.type) for c, f in zip(columns, list(_SIGNATURE)[2:], strict=True)]], schema=_SIGNATURE)
 
     return run
 
@@ -204,9 +205,18 @@ def near_duplicates(
     A pair exactly at the threshold of 80 meets in no band with a probability of
     5e-8, and is sifted out with about 3e-7.
     """
+    return grouped_rows(docs, width, percent, id_col, text_col).drop("text_key", "group_key")
+
+
+def grouped_rows(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``near_duplicates`` with what tells rows of one id apart: ``text_key``, and ``group_key`` of the text's group.
+
+    ``group_key`` is null where a row is linked with nothing by rule: no words or no id.
+    """
     share = percent / 100
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = common.store(rows.mapInArrow(_signatures(width), _SIGNATURE_SQL), "signatures")
+    rows = rows.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = common.store(rows.select("doc_id", "text_key", "text").mapInArrow(_signatures(width), _SIGNATURE_SQL), "signatures")
 
     # Classes of equal sets; a copy of a class has no part in the search.
     known = found.where("n > 0 AND doc_id IS NOT NULL")
@@ -256,10 +266,11 @@ def near_duplicates(
     grouped = _labelled(classes.select("node", "rep"), labels).join(joined, "label", "left")
     grouped = grouped.withColumn("label", F.coalesce("joined", "label"))
     smallest = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
-    grouped = grouped.join(smallest, "label").select("node", "component_id")
-    out = found.select("doc_id", "n", "node").join(grouped, "node", "left")
+    grouped = grouped.join(smallest, "label").select("node", "label", "component_id")
+    out = found.select("doc_id", "text_key", "n", "node").join(grouped, "node", "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
-    )
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "text_key", F.when(~alone, F.col("label")).alias("group_key"),
+    )

@@ -97,6 +97,21 @@ def test_stages_take_nulls_repeated_rows_and_empty_tables(spark, tmp_path):
             assert stage(spark, docs, str(tmp_path)).count() <= 3 * len(want)
 
 
+def test_texts_that_share_an_id_are_not_lost(spark, tmp_path):
+    rng = random.Random(3)
+    long = lambda: [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    one, two, three = long(), long(), long()
+    texts = [(1, one), (1, two), (1, two), (0, three), (1, [*three, "end"]), (2, one), (3, two[:-1]), (4, []), (4, [" "]), (1, [*one, "more"])]
+    rows = [(k, " ".join(t), "en", f"s{n}", 0) for n, (k, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    got = sorted((r["doc_id"], r["text"].split()[:1], r["source"]) for r in stage(spark, docs, str(tmp_path)).collect())
+    # Id 1 has two groups of its own, and a near copy of id 0 that goes.
+    first = [(r[0], r[1]) for r in got]
+    assert first == sorted([(0, three[:1]), (1, one[:1]), (1, two[:1]), (4, []), (4, [])])
+    assert [r[2] for r in got if r[1] == two[:1]] == ["s1"]
+
+
 def test_registered_once_each():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11))
