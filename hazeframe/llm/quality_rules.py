@@ -47,8 +47,7 @@ def _without(text: Column, characters: str) -> Column:
 def measure(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
     """Counts of each document: ``doc_id``, ``host``, ``text_key`` (64-bit hash) and the columns of the rules.
 
-    Windows of five words are compared by 64-bit hashes, less the bits that hold a
-    window's place; no row leaves its task.
+    Windows of five words are compared by 64-bit hashes; no row leaves its task.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), text.alias("text"))
@@ -63,19 +62,16 @@ def measure(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", t
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"),
-        # Bits that hold any place in the text.
-        F.length(F.bin(F.size("words"))).alias("bits"),
     )
-    # Hash and place of each window in one number: sorted, equal windows are neighbours.
+    # Hash and place of each window: sorted, equal windows are neighbours.
     window = ", ".join(f"get(hashed, i + {k})" for k in range(WINDOW))
-    placed = f"transform(sequence(0, n_words - {WINDOW}), i -> shiftleft(xxhash64({window}), bits) | i)"
+    placed = f"transform(sequence(0, n_words - {WINDOW}), i -> struct(xxhash64({window}) AS h, i AS i))"
     placed = F.expr(f"CASE WHEN n_words >= {WINDOW} THEN sort_array({placed}) ELSE array() END")
     rows = rows.withColumn("placed", placed).drop("hashed")
-    same = "shiftrightunsigned(x, bits) = shiftrightunsigned(get(placed, k {} 1), bits)"
-    again = f"filter(placed, (x, k) -> {same.format('-')} OR {same.format('+')})"
-    rows = rows.withColumn("again", F.expr(f"sort_array(transform({again}, x -> x & (shiftleft(1L, bits) - 1)))")).drop("placed")
+    again = "filter(placed, (x, k) -> x.h = get(placed, k - 1).h OR x.h = get(placed, k + 1).h)"
+    rows = rows.withColumn("again", F.expr(f"sort_array(transform({again}, x -> x.i))")).drop("placed")
     covered = f"transform(again, (x, k) -> least({WINDOW}L, coalesce(get(again, k + 1) - x, {WINDOW}L)))"
-    return rows.withColumn("n_repeat_words", F.expr(f"aggregate({covered}, 0L, (a, x) -> a + x)")).drop("again", "bits")
+    return rows.withColumn("n_repeat_words", F.expr(f"aggregate({covered}, 0L, (a, x) -> a + x)")).drop("again")
 
 
 def judge(counts: DataFrame, limits: Limits = Limits()) -> DataFrame:

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazeframe.llm.quality_rules import Limits, host_rates, judge, keep_good, measure, quality_rules
 
@@ -77,3 +78,9 @@ def test_limits_are_parameters(spark):
 def test_no_python_in_the_plan(spark):
     plan = quality_rules(hosts(spark))._jdf.queryExecution().toString() + measure(hosts(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_a_very_long_text_of_distinct_words_repeats_nothing(spark):
+    df = spark.range(1).select("id", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(4_000_000)), lambda x: F.hex(x)), " ").alias("text"), F.lit("s").alias("source"))
+    got = measure(df.withColumnRenamed("id", "doc_id")).select("n_words", "n_repeat_words").first()
+    assert tuple(got) == (4_000_001, 0)
