@@ -12,6 +12,7 @@ from .mixing import mix_sources
 from .near_duplicates import near_duplicates
 from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
+from .spelling_variants import count_words, spelling_variants
 from .suffix_dedup import remove_repeats
 from .token_output import token_digests
 from .url_filters import dated_captures, dated_list, evaluate
@@ -177,3 +178,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lines=True)
     return found.select("doc_id", "contaminated", "items", "n_windows", "reparameterised")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(count_words(table(spark, sf_dir, "documents"), noise=199))
