@@ -35,6 +35,8 @@ LETTERS = "A-Za-zÀ-ÿ"
 TILE = 1024
 # Cells of one comparison of blocks.
 CELLS = 1 << 22
+# Pairs of words that a task compares, about.
+PAIRS = 20_000_000
 # Distinct words that a task counts before it hands them on.
 HELD = 200_000
 
@@ -105,17 +107,19 @@ def _groups(words: DataFrame) -> DataFrame:
     return words.select("word", "n", F.inline(F.array(*places)))
 
 
-def _blocks(groups: DataFrame, tile: int) -> DataFrame:
-    """Members of each pair of tiles of each group; groups without a pair are gone."""
-    longest = F.max((F.length("word") == F.col("m")).cast("int"))
-    sizes = groups.groupBy("key").agg(F.count("*").alias("members"), longest.alias("long")).where("members > 1 AND long = 1")
+def _blocks(groups: DataFrame, tile: int) -> tuple[DataFrame, int]:
+    """Members of each pair of tiles of each group, and how many tasks they are work for; groups without a pair are gone."""
+    longer = F.count_if(F.length("word") == F.col("m"))
+    sizes = groups.groupBy("key").agg(F.count("*").alias("members"), longer.alias("long")).where("members > 1 AND long > 0")
+    sizes = common.store(sizes.select("key", "members"), "groups")
+    pairs = sizes.agg(F.sum(F.col("members").cast("double") ** 2)).first()[0] or 0
     tiles = F.ceil(F.col("members") / tile).cast("int")
     # Groups beyond one tile are few: at most four times the words over the tile's size.
     dealt = groups.join(sizes.select("key", tiles.alias("tiles")), "key")
     own: Column = F.pmod(F.xxhash64("word"), F.col("tiles")).cast("int")
     dealt = dealt.withColumn("own", own)
     others = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.struct(F.least("own", u).alias("i"), F.greatest("own", u).alias("j")))
-    return dealt.select("m", "side", "key", "own", "word", "n", F.inline(others))
+    return dealt.select("m", "side", "key", "own", "word", "n", F.inline(others)), 1 + int(pairs / PAIRS)
 
 
 def common_ends(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -211,7 +215,9 @@ def near_words(words: DataFrame, tile: int = TILE) -> DataFrame:
     ``words`` has distinct words (``word``, ``n``).  Of near words with the same count
     the first in code-point order is taken.
     """
-    blocks = _blocks(_groups(words), tile).repartition("key", "i", "j").sortWithinPartitions("m", "side", "key", "i", "j")
+    blocks, tasks = _blocks(_groups(words), tile)
+    # Work grows with the pairs, not with the bytes that a shuffle is cut by.
+    blocks = blocks.repartition(tasks, "key", "i", "j").sortWithinPartitions("m", "side", "key", "i", "j")
     found = blocks.mapInArrow(_compare, "word string, n_near long, form_n long, form string")
     best = F.min(F.struct((-F.col("form_n")).alias("less"), F.col("form").alias("form")))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select(
