@@ -10,6 +10,7 @@ from .decontamination import decontaminate
 from .html_extraction import extract_text
 from .mixing import mix_sources
 from .near_duplicates import near_duplicates
+from .personal_data import find_personal_data
 from .quality_rules import quality_rules
 from .secret_scan import scan_secrets
 from .spelling_variants import count_words, spelling_variants
@@ -180,6 +181,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "items", "n_windows", "reparameterised")
 
 
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(count_words(table(spark, sf_dir, "documents"), noise=199))
