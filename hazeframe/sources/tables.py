@@ -160,20 +160,26 @@ def read_results(spark: SparkSession, path: str) -> DataFrame | None:
 _STORED: list[str] = []
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder; ``release`` deletes it."""
+    path = f"{shared_folder(spark)}/hazeframe-{uuid.uuid4().hex}"
+    _STORED.append(path)
+    return path
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the frame to the shared folder and read it back.
 
     The stored table survives the loss of any executor, is computed once, and
     later reads prune columns and push filters down.  ``release`` deletes it.
     """
-    path = f"{shared_folder(df.sparkSession)}/hazeframe-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    _STORED.append(path)
     return df.sparkSession.read.parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the tables that ``checkpoint`` has stored; frames that read them end."""
+    """Delete what ``checkpoint`` and ``scratch`` stand for; frames that read it end."""
     while _STORED:
         target = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
