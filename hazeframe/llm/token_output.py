@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,8 +32,11 @@ from . import common
 
 LENGTH = 2048
 ROWS = 128
-# Words whose ids a worker keeps; beyond that it begins anew.
-KNOWN_WORDS = 1_500_000
+# Bytes of the words whose ids a worker keeps, with what an entry takes; beyond that it begins anew.
+KNOWN_BYTES = 64 << 20
+ENTRY_BYTES = 200
+# Letters that may be proven to stand apart from a stop behind them.
+LETTERS = "".join(chr(c) for c in range(256) if chr(c).isalpha())
 # New words that are encoded as one text.
 TOGETHER = 500
 
@@ -46,9 +50,10 @@ class Encoder:
 
     Where a tokenizer never joins what white space parts, each word is encoded once
     and looked up later; ``by_word`` says so (default: tried out).
-    Words of letters are then encoded many at a time, without case and a full stop
-    or comma behind them, if trials show that the tokenizer treats these apart and
-    its vocabulary marks the ends of words.
+    Words of some letters are then encoded many at a time, without the full stop or
+    comma behind them (and those of ASCII without case), if its vocabulary marks the
+    ends of words.  Only letters of ``LETTERS`` whose every trial gives the same ids
+    either way are taken so: others may change into a mark that joins what follows.
     """
 
     def __init__(self, spec: str, by_word: bool | None = None):
@@ -64,12 +69,21 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
         self.tails = dict(zip(("", ".", ","), (b"", *self._plain([".", ","])), strict=True))
-        trials = [("thing", "."), ("Other", ","), ("été", "."), ("Q", ",")]
-        self.simple = bool(suffix) and all(
-            self._plain([w + t])[0] == self._plain([w.lower() if w.isascii() else w])[0] + self.tails[t] for w, t in trials
-        )
+        apart = "".join(self._apart()) if suffix else ""
+        self.core = re.compile(f"[{apart}]+" if apart else "(?!)")
         self._forget()
 
+    def _apart(self) -> list[str]:
+        """Letters that stand apart from a stop behind them, alone and in a word, in either case."""
+        same = lambda a, b: a == b[0] + b[1]
+        found = []
+        for c in LETTERS:
+            words = [c, f"a{c}", f"{c}a{c}"]
+            lowered = self._plain([w.lower() if w.isascii() else w for w in words])
+            if all(same(w, (low, self.tails[t])) for t in self.tails for w, low in zip(self._plain([w + t for w in words]), lowered, strict=True)):
+                found.append(c)
+        return found
+
     def _forget(self) -> None:
         """Words known so far: their numbers, and by number where their ids stand."""
         self.known: dict[bytes, int] = {}
@@ -77,6 +91,7 @@ class Encoder:
         self.begin = np.empty(1 << 14, np.int64)
         self.size = np.empty(1 << 14, np.int64)
         self.used = 0
+        self.held = 0
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -99,7 +114,7 @@ class Encoder:
             text = w.decode()
             tail = text[-1] if text[-1] in ".," else ""
             core = text[: len(text) - len(tail)]
-            if self.simple and core.isalpha():
+            if self.core.fullmatch(core):
                 parts[w] = (core.lower() if core.isascii() else core).encode(), tail
             else:
                 plain.append(w)
@@ -120,7 +135,7 @@ class Encoder:
 
     def _numbers(self, words: list[bytes]) -> np.ndarray:
         """Numbers of words, which are learnt where they are new."""
-        if len(self.known) > KNOWN_WORDS:
+        if self.held > KNOWN_BYTES:
             self._forget()
         new = [w for w in words if w not in self.known]
         if new:
@@ -134,6 +149,7 @@ class Encoder:
             self.begin[first:last] = self.used + np.cumsum(sizes) - sizes
             self.size[first:last] = sizes
             self.used += len(ids)
+            self.held += sum(map(len, found)) + ENTRY_BYTES * len(found)
             self.known.update(zip(found, range(first, last), strict=True))
         return np.array([self.known[w] for w in words], np.int64)
 

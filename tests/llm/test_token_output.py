@@ -28,6 +28,28 @@ def test_encoder_equals_whole_text_encoding(path, by_word):
     assert [[*x, 2] for x in got] == plain(path, texts) * 2
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_every_letter_before_a_stop(path):
+    """Some letters become a mark when they are lower-cased or composed, which joins a stop behind them."""
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    texts = [f"{w}{stop}" for stop in ",." for c in letters for w in (c, f"ev{c}")]
+    texts.append("YEN\u0130, evet EV\u0130. a\u0958, b\u09dc. \u0a33,")
+    encoder, tokenizer = Encoder(open(path).read()), Tokenizer.from_file(path)
+    joined = [" ".join(texts[at : at + 50]) for at in range(0, len(texts), 50)]
+    got = [np.frombuffer(x, encoder.width).tolist() for x in encoder.encode(joined)]
+    assert got == [x.ids for x in tokenizer.encode_batch(joined, add_special_tokens=False)]
+    if path == WORDS:
+        assert encoder.core.fullmatch("Straßenäöüéèà") and not encoder.core.fullmatch("\u0130")
+
+
+def test_words_are_forgotten_and_learnt_again(monkeypatch):
+    monkeypatch.setattr("hazeframe.llm.token_output.KNOWN_BYTES", 2000)
+    encoder = Encoder(open(WORDS).read())
+    texts = [f"word{k} and, other{k % 7} w\u00f6rter{k}." for k in range(200)]
+    got = [np.frombuffer(encoder.encode([t])[0], encoder.width).tolist() for t in texts * 2]
+    assert [[*x, 2] for x in got] == plain(WORDS, texts * 2)
+
+
 def expected(rows, path=WORDS):
     ids = plain(path, [t for _, t in rows])
     starts = [0, *accumulate(map(len, ids))]
