@@ -10,11 +10,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hazeframe.sources import tables
 
 # Text bytes that one round of array work takes; a single longer text is taken whole.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 
 _STORED: list[str] = []
 
@@ -46,6 +47,21 @@ def release(spark: SparkSession) -> None:
     _STORED.clear()
 
 
+def wrapped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows as one struct each, with ``doc_id`` and ``text_key`` beside it.
+
+    So a column of the table can have any name, and any type.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    one = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("text_key"), one.alias("one"))
+
+
+def unwrapped(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``wrapped``, with the columns that ``docs`` has."""
+    return rows.select(*[F.col(f"one.`{c}`").alias(c) for c in docs.columns])
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a column, and where each begins (one more: the end)."""
     column = pc.fill_null(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, "")

@@ -38,6 +38,8 @@ PLAIN, TEMPLATE, SPAN, WHOLE, LINE = range(5)
 # Bits of the filter for each window of the benchmark, and in all.
 BITS_EACH = 16
 BITS_MOST = 1 << 27
+# Windows that a task hands on at a time.
+HANDED = 4096
 # What a window of a text and one of an item must have in common, and the items of a window that are joined in one share.
 KEY = ["hash", "pattern", "width"]
 SHARE = 1000
@@ -250,8 +252,10 @@ def _document_windows(sizes: dict[int, list[int]], width: int, words, bits: int)
                     maybe = np.ones(len(first), bool)
                     for place in _places(hashes, bits):
                         maybe &= (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-                    if maybe.any():
-                        yield _batch(list(_rows(texts, ids, row, first[maybe], widths[maybe], hashes[maybe], form)))
+                    found = np.flatnonzero(maybe)
+                    for at in range(0, len(found), HANDED):
+                        some = found[at : at + HANDED]
+                        yield _batch(list(_rows(texts, ids, row, first[some], widths[some], hashes[some], form)))
 
     return run
 
@@ -263,16 +267,15 @@ def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _filter_words(windows: DataFrame, bits: int) -> np.ndarray:
-    """The Bloom filter of the windows' hashes; at most ``bits / 64`` numbers come to the driver."""
+    """The Bloom filter of the windows' hashes; at most ``bits / 64`` pairs of numbers come to the driver, as Arrow."""
     mask = F.lit(bits - 1).cast("long")
     places = [F.shiftrightunsigned("hash", s).bitwiseAND(mask) for s in (0, 17, 34)]
     one = windows.select(F.explode(F.array(*places)).alias("place"))
     # 1L << n takes n modulo 64.
     word = F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("word")
-    found = one.groupBy(F.shiftrightunsigned("place", 6).alias("at")).agg(word).collect()
+    found = one.groupBy(F.shiftrightunsigned("place", 6).alias("at")).agg(word).toArrow()
     out = np.zeros(bits // 64, np.uint64)
-    for r in found:
-        out[r["at"]] = np.uint64(r["word"] & 0xFFFFFFFFFFFFFFFF)
+    out[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
     return out
 
 
@@ -356,6 +359,5 @@ def decontaminate(
 
 def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that hold nothing of the benchmark, with their columns."""
-    leaks = decontaminate(spark, docs, benchmark, lines=True).where("contaminated").select(F.col("text_key").alias("leak_key")).distinct()
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(common.store(leaks, "leaks"), key == F.col("leak_key"), "left_anti")
+    leaks = decontaminate(spark, docs, benchmark, lines=True).where("contaminated").select("text_key").distinct()
+    return common.unwrapped(common.wrapped(docs).join(common.store(leaks, "leaks"), "text_key", "left_anti"), docs)

@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -31,11 +31,15 @@ MOST = 3
 _EDGE = 1e-9
 
 
+def _words(text_col: str) -> Column:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")).cast("long")
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``source``, ``size`` (words), ``text_key`` of each row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    words = F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), F.xxhash64(text).alias("text_key"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), _words(text_col).alias("size"), F.xxhash64(text).alias("text_key"))
 
 
 def ranked_sources(measured: DataFrame) -> DataFrame:
@@ -190,7 +194,11 @@ def mix_sources(
     """
     measured = sizes(docs, id_col, source_col, text_col)
     # Rows are numbered once, in a stored table, so that no recomputation renumbers them.
-    measured = common.store(measured.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    return _mixed(common.store(measured.withColumn("row", F.monotonically_increasing_id()), "sizes"), weights, most, seed)
+
+
+def _mixed(measured: DataFrame, weights: Sequence[float], most: int, seed: int) -> DataFrame:
+    """The mix of stored rows with ``row``, a number of their own."""
     wanted = common.store(targets(ranked_sources(measured), weights, most), "targets")
     wanted = wanted.select(F.col("source").alias("of"), "rank", "source_size", "target")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -206,14 +214,14 @@ def mix_sources(
     return out.select("doc_id", "text_key", "row", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
 
 
-def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``documents``, each as often as the mix takes it.
+def mixed_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, seed: int = 9) -> DataFrame:
+    """The rows of ``documents`` with their columns, each as often as the mix takes it.
 
-    Rows equal in id and text share what they are due evenly, to whole copies.
+    Rows are numbered and stored first, so each is repeated by its own number of
+    times, those of equal id and text too.
     """
-    times = mixed.groupBy("doc_id", "text_key").agg(F.sum("times").alias("times"), F.count("*").alias("rows"))
-    times = times.toDF("mix_id", "mix_key", "times", "rows")
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["mix_id"]) & (key == times["mix_key"]))
-    each = F.round(F.col("times") / F.col("rows")).cast("int")
-    return joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), each))).select(*[docs[c] for c in docs.columns])
+    rows = common.store(common.wrapped(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    measured = rows.select("doc_id", F.col("one.source").cast("string").alias("source"), _words("one.text").alias("size"), "text_key", "row")
+    times = _mixed(common.store(measured, "sizes"), weights, most, seed).select("row", F.col("times").cast("int").alias("times"))
+    taken = rows.join(times.where("times > 0"), "row")
+    return common.unwrapped(taken.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("times")))), docs)

@@ -274,3 +274,25 @@ def grouped_rows(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
         "text_key", F.when(~alone, F.col("label")).alias("group_key"),
     )
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents`` with their columns, one of each group of near duplicates.
+
+    Of rows that repeat an id those of different groups all stay, and of one group one;
+    rows without an id all stay.
+    """
+    kept = common.store(grouped_rows(docs, width, percent).where("kept").select("doc_id", "text_key", "group_key"), "kept")
+    counts = kept.where("doc_id IS NOT NULL").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
+    # Where a group's least id repeats, the least text of it stays; texts without words are groups of their own.
+    group = F.when(F.col("doc_id").isNotNull(), F.col("group_key"))
+    alone = kept.where(group.isNull()).select("doc_id", "text_key").distinct()
+    named = kept.where(group.isNotNull()).groupBy("doc_id", "group_key").agg(F.min("text_key").alias("text_key")).select("doc_id", "text_key")
+    named = named.unionByName(alone).toDF("kept_id", "kept_key")
+    rows = common.wrapped(docs)
+    out = rows.join(named, rows["doc_id"].eqNullSafe(named["kept_id"]) & (rows["text_key"] == named["kept_key"]), "left_semi")
+    if counts["n"] == counts["ids"]:
+        return common.unwrapped(out, docs)
+    # Rows of equal id and text: the first as JSON, which a column of any type has.
+    single = out.where("doc_id IS NOT NULL").groupBy("doc_id", "text_key").agg(F.min_by("one", F.to_json("one")).alias("one"))
+    return common.unwrapped(single.select("one").unionByName(out.where("doc_id IS NULL").select("one")), docs)

@@ -63,11 +63,13 @@ def measure(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", t
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"),
     )
+    # Most texts repeat no window, which plain hashes tell; only the others need places.
     # Hash and place of each window: sorted, equal windows are neighbours.
     window = ", ".join(f"get(hashed, i + {k})" for k in range(WINDOW))
-    placed = f"transform(sequence(0, n_words - {WINDOW}), i -> struct(xxhash64({window}) AS h, i AS i))"
-    placed = F.expr(f"CASE WHEN n_words >= {WINDOW} THEN sort_array({placed}) ELSE array() END")
-    rows = rows.withColumn("placed", placed).drop("hashed")
+    hashes = f"CASE WHEN n_words >= {WINDOW} THEN transform(sequence(0, n_words - {WINDOW}), i -> xxhash64({window})) ELSE array() END"
+    rows = rows.withColumn("windows", F.expr(hashes)).drop("hashed")
+    placed = "sort_array(transform(windows, (h, i) -> struct(h AS h, CAST(i AS BIGINT) AS i)))"
+    rows = rows.withColumn("placed", F.expr(f"CASE WHEN size(array_distinct(windows)) < size(windows) THEN {placed} ELSE array() END")).drop("windows")
     again = "filter(placed, (x, k) -> x.h = get(placed, k - 1).h OR x.h = get(placed, k + 1).h)"
     rows = rows.withColumn("again", F.expr(f"sort_array(transform({again}, x -> x.i))")).drop("placed")
     covered = f"transform(again, (x, k) -> least({WINDOW}L, coalesce(get(again, k + 1) - x, {WINDOW}L)))"
@@ -139,6 +141,6 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Verdicts find their rows by id and text, so repeated and null ids are no matter.
     """
     good = common.store(quality_rules(docs, limits).where("kept").select("doc_id", "text_key").distinct(), "good")
-    good = good.toDF("good_id", "good_key")
-    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["good_id"]) & (key == good["good_key"]), "left_semi")
+    rows = common.wrapped(docs)
+    same = rows["doc_id"].eqNullSafe(good["doc_id"]) & (rows["text_key"] == good["text_key"])
+    return common.unwrapped(rows.join(good, same, "left_semi"), docs)

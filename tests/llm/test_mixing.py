@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from hazeframe.llm.mixing import cube_sample, mix_sources, repeat_rows, walk
+from hazeframe.llm.mixing import cube_sample, mix_sources, mixed_rows, walk
 
 
 def water(sizes, weights, most=3):
@@ -107,8 +107,8 @@ def test_nulls_repeated_rows_clashing_columns_and_empty(spark):
     mixed = mix_sources(df)
     got = mixed.collect()
     assert len(got) == 5 and sum(r["size"] for r in got) == 10
-    assert sorted(repeat_rows(df, mixed).columns) == sorted(df.columns)
-    assert mix_sources(df.limit(0)).count() == 0 and repeat_rows(df.limit(0), mix_sources(df.limit(0))).count() == 0
+    assert mixed_rows(df).columns == df.columns
+    assert mix_sources(df.limit(0)).count() == 0 and mixed_rows(df.limit(0)).count() == 0
 
 
 def test_rows_are_repeated(spark):
@@ -116,5 +116,17 @@ def test_rows_are_repeated(spark):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     mixed = mix_sources(df)
     times = {r["doc_id"]: r["times"] for r in mixed.collect()}
-    got = Counter(r["doc_id"] for r in repeat_rows(df, mixed).collect())
+    got = Counter(r["doc_id"] for r in mixed_rows(df).collect())
     assert got == Counter({k: t for k, t in times.items() if t})
+
+
+def test_copies_of_equal_rows_add_up_and_columns_have_any_name(spark):
+    """Rows of equal id and text are due their own number of copies, whatever the table's columns are called."""
+    names = ["times", "rows", "copy", "row", "one", "each", "text_key", "size", "doc id"]
+    extra = "".join(f", `{n}` map<string,int>" for n in names)
+    rows = [(k % 3, "a" if k < 4 else "b", "some words " * (k // 2 + 1), *[{n: k} for n in names]) for k in range(7)]
+    rows += [rows[0]] * 5 + [(None, None, None, *[None] * len(names))]
+    df = spark.createDataFrame(rows, f"doc_id long, source string, text string{extra}").repartition(3)
+    mixed = mix_sources(df).collect()
+    got = mixed_rows(df)
+    assert got.columns == df.columns and got.count() == sum(r["times"] for r in mixed) > 0
