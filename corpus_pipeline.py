@@ -7,12 +7,11 @@ columns of ``documents``; the last writes token files and returns their digests.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hazeframe.llm import common
 from hazeframe.llm.decontamination import keep_clean
-from hazeframe.llm.mixing import mix_sources, repeat_rows
-from hazeframe.llm.near_duplicates import grouped_rows
+from hazeframe.llm.mixing import mixed_rows
+from hazeframe.llm.near_duplicates import keep_one
 from hazeframe.llm.quality_rules import keep_good
 from hazeframe.llm.queries import tokenizer_path
 from hazeframe.llm.token_output import token_digests
@@ -24,25 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words, a similarity of 0.8.
-
-    Of rows that repeat an id those of different groups all stay, and of one group one;
-    rows without an id all stay.
-    """
-    kept = common.store(grouped_rows(docs, width=5, percent=80).where("kept").select("doc_id", "text_key", "group_key"), "kept")
-    counts = kept.where("doc_id IS NOT NULL").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
-    # Where a group's least id repeats, the least text of it stays; texts without words are groups of their own.
-    group = F.when(F.col("doc_id").isNotNull(), F.col("group_key"))
-    alone = kept.where(group.isNull()).select("doc_id", "text_key").distinct()
-    named = kept.where(group.isNotNull()).groupBy("doc_id", "group_key").agg(F.min("text_key").alias("text_key")).select("doc_id", "text_key")
-    named = named.unionByName(alone).toDF("kept_id", "kept_key")
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    out = docs.join(named, docs["doc_id"].eqNullSafe(named["kept_id"]) & (key == named["kept_key"]), "left_semi")
-    if counts["n"] == counts["ids"]:
-        return out
-    # Rows of equal id and text; which stays does not depend on their order.
-    single = out.where("doc_id IS NOT NULL").groupBy("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("same")).agg(F.min(F.struct(*docs.columns)).alias("one"))
-    return single.select("one.*").unionByName(out.where("doc_id IS NULL"))
+    """One document of each group of near duplicates: five words, a similarity of 0.8."""
+    return keep_one(docs, width=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +34,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    return repeat_rows(docs, common.store(mix_sources(docs), "mix"))
+    return mixed_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
