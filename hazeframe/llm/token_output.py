@@ -32,9 +32,10 @@ from . import common
 
 LENGTH = 2048
 ROWS = 128
-# Bytes of the words whose ids a worker keeps, with what an entry takes; beyond that it begins anew.
+# Bytes that the known words and their ids may take in a worker; beyond that it begins anew.
 KNOWN_BYTES = 64 << 20
-ENTRY_BYTES = 200
+# Bytes of text whose words are looked up together.
+GROUPED = 1 << 21
 # Letters that may be proven to stand apart from a stop behind them.
 LETTERS = "".join(chr(c) for c in range(256) if chr(c).isalpha())
 # New words that are encoded as one text.
@@ -85,13 +86,12 @@ class Encoder:
         return found
 
     def _forget(self) -> None:
-        """Words known so far: their numbers, and by number where their ids stand."""
-        self.known: dict[bytes, int] = {}
+        """Words known so far: their hashes in order, and for each where its ids stand."""
+        self.known = np.empty(0, np.uint64)
+        self.begin = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
         self.flat = np.empty(1 << 16, self.width)
-        self.begin = np.empty(1 << 14, np.int64)
-        self.size = np.empty(1 << 14, np.int64)
         self.used = 0
-        self.held = 0
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -107,68 +107,65 @@ class Encoder:
         bounds = [0, *(last * size).tolist()]
         return [data[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
 
-    def _ids_of(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _at(self, hashes: np.ndarray) -> np.ndarray:
+        """Where known words stand in the list; -1 for others."""
+        if not len(self.known):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, at, -1)
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         """Ids of new words, and of the words of letters that are in them."""
-        parts, plain = {}, []
-        for w in words:
+        parts, plain = {}, {}
+        for h, w in zip(hashes.tolist(), words, strict=True):
             text = w.decode()
             tail = text[-1] if text[-1] in ".," else ""
             core = text[: len(text) - len(tail)]
             if self.core.fullmatch(core):
-                parts[w] = (core.lower() if core.isascii() else core).encode(), tail
+                parts[h] = (core.lower() if core.isascii() else core).encode(), tail
             else:
-                plain.append(w)
-        out = dict(zip(plain, self._plain([w.decode() for w in plain]), strict=True))
-        cores = {core for core, _ in parts.values()}
-        new = list(cores - self.known.keys())
-        ids = {core: self._known_ids(core) for core in cores & self.known.keys()}
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            ids.update(zip(some, self._together([c.decode() for c in some]), strict=True))
-        out.update((core, ids[core]) for core in new)
-        out.update((w, ids[core] + self.tails[tail]) for w, (core, tail) in parts.items())
-        return out
-
-    def _known_ids(self, word: bytes) -> bytes:
-        n = self.known[word]
-        return self.flat[self.begin[n] : self.begin[n] + self.size[n]].tobytes()
-
-    def _numbers(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of words, which are learnt where they are new."""
-        if self.held > KNOWN_BYTES:
-            self._forget()
-        new = [w for w in words if w not in self.known]
-        if new:
-            found = self._ids_of(new)
-            ids = np.frombuffer(b"".join(found.values()), self.width)
-            sizes = np.array([len(f) for f in found.values()], np.int64) // self.width.itemsize
-            first, last = len(self.known), len(self.known) + len(found)
-            self.flat = _room(self.flat, self.used + len(ids))
-            self.begin, self.size = _room(self.begin, last), _room(self.size, last)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.begin[first:last] = self.used + np.cumsum(sizes) - sizes
-            self.size[first:last] = sizes
-            self.used += len(ids)
-            self.held += sum(map(len, found)) + ENTRY_BYTES * len(found)
-            self.known.update(zip(found, range(first, last), strict=True))
-        return np.array([self.known[w] for w in words], np.int64)
+                plain[h] = text
+        learnt = dict(zip(plain, self._plain(list(plain.values())), strict=True))
+        cores = list({core for core, _ in parts.values()})
+        ids = {}
+        if cores:
+            ends = np.cumsum([len(c) for c in cores])
+            of_cores = common.hash_spans(np.frombuffer(b"".join(cores), np.uint8), ends - [len(c) for c in cores], ends, common.WORD)
+            at = self._at(of_cores)
+            new = [cores[k] for k in np.flatnonzero(at < 0).tolist()]
+            for k in range(0, len(new), TOGETHER):
+                some = new[k : k + TOGETHER]
+                ids.update(zip(some, self._together([c.decode() for c in some]), strict=True))
+            learnt.update((h, ids[c]) for h, c, k in zip(of_cores.tolist(), cores, at.tolist(), strict=True) if k < 0)
+            ids.update((c, self.flat[self.begin[k] : self.begin[k] + self.size[k]].tobytes()) for c, k in zip(cores, at.tolist(), strict=True) if k >= 0)
+        learnt.update((h, ids[core] + self.tails[tail]) for h, (core, tail) in parts.items())
+
+        found = np.frombuffer(b"".join(learnt.values()), self.width)
+        sizes = np.array([len(f) for f in learnt.values()], np.int64) // self.width.itemsize
+        self.flat = _room(self.flat, self.used + len(found))
+        self.flat[self.used : self.used + len(found)] = found
+        # Words of letters may be known already, with the same ids.
+        added = np.concatenate([self.known, np.fromiter(learnt, np.uint64, len(learnt))])
+        begin = np.concatenate([self.begin, self.used + np.cumsum(sizes) - sizes])
+        self.known, kept = np.unique(added, return_index=True)
+        self.begin, self.size = begin[kept], np.concatenate([self.size, sizes])[kept]
+        self.used += len(found)
 
     def encode_buffer(self, data: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-        """Ids of the texts in a buffer.  Words of a buffer are grouped by 64-bit hashes."""
+        """Ids of the texts in a buffer.  Words are told apart by 64-bit hashes."""
         if not self.by_word:
             return self._plain([data[i:j].tobytes().decode() for i, j in zip(bounds, bounds[1:], strict=False)])
+        if KNOWN_BYTES < 24 * len(self.known) + self.flat.nbytes:
+            self._forget()
         starts, ends = common.spans(~common.SPACE[data], bounds)
         if not len(starts):
             return [b""] * (len(bounds) - 1)
-        hashes = common.hash_spans(data, starts, ends, common.WORD)
-        order = np.argsort(hashes)
-        ranked = hashes[order]
-        head = np.append(True, ranked[1:] != ranked[:-1])
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(head) - 1
-        one = order[head]
-        whole = data.tobytes()
-        numbers = self._numbers([whole[i:j] for i, j in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])[group]
+        hashes, one, group = np.unique(common.hash_spans(data, starts, ends, common.WORD), return_index=True, return_inverse=True)
+        new = np.flatnonzero(self._at(hashes) < 0)
+        if len(new):
+            whole = data.tobytes()
+            self._learn(hashes[new], [whole[i:j] for i, j in zip(starts[one[new]].tolist(), ends[one[new]].tolist(), strict=True)])
+        numbers = self._at(hashes)[group]
         sizes = self.size[numbers]
         stops = np.cumsum(sizes)
         ids = self.flat[np.repeat(self.begin[numbers] - stops + sizes, sizes) + np.arange(stops[-1])]
@@ -248,7 +245,7 @@ def _writer(spec: str, end_id: int, path: str, length: int, rows: int):
         file = f"{path}/shard-{number:06d}-{uuid.uuid4().hex}.arrow"
         shard = None
         for batch in batches:
-            for row, data, bounds in common.chunks(batch.column(1)):
+            for row, data, bounds in common.chunks(batch.column(1), GROUPED):
                 shard = shard or _Shard(file, width, length, rows)
                 n = len(bounds) - 1
                 offsets, counts = [], []
