@@ -64,7 +64,7 @@ def difference(df, con, sql: str) -> str | None:
 def main() -> None:
     from pyspark.sql import SparkSession
 
-    from checks import streams  # noqa: F401  registers its queries
+    from checks import options, streams  # noqa: F401  register their queries
     from checks.catalog import ORACLES, QUERIES
 
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)

@@ -96,6 +96,44 @@ def rolling(
     return df.withColumns(totals).withColumns(made).drop(*totals)
 
 
+MICROS = "_micros"
+HOUR = 3_600_000_000
+
+
+def with_micros(df: DataFrame, time: str) -> DataFrame:
+    """Adds the time without a zone as microseconds, a number that frames of time can count in."""
+    return df.withColumn(MICROS, F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(time)))
+
+
+def rolling_hours(
+    df: DataFrame, keys: Sequence[str], rolls: Mapping[str, Roll], digits: int | None = DEFAULT_DIGITS
+) -> DataFrame:
+    """Rolling statistics over hours instead of rows.
+
+    ``rows`` of a roll are hours: its frame goes from ``rows - 1`` hours before a row to
+    the row, with all rows of the same time, so on gapless hourly data it is that of
+    ``rolling``.  ``df`` comes from ``with_micros``, cut (if at all) along that column.
+    Each frame is added up anew; it holds a day of one station at most.
+    """
+    columns = list(dict.fromkeys(r.column for r in rolls.values()))
+    longest = max((r.rows for r in rolls.values()), default=1)
+    df = segments.with_time_halo(df, keys, MICROS, columns, max(1, longest - 1) * HOUR)
+    # The halo stands before the segment in time, so its side is no matter here.
+    parts = [*keys, segments.SEG] if segments.SEG in df.columns else list(keys)
+    ordered = Window.partitionBy(*parts).orderBy(MICROS)
+    made = {}
+    for name, r in rolls.items():
+        frame = ordered.rangeBetween((1 - r.rows) * HOUR, Window.currentRow)
+        if r.how == "max":
+            value, known = F.max(r.column).over(frame), F.count(r.column).over(frame)
+        else:
+            one = F.col(r.column) if digits is None else exact(F.col(r.column), digits)
+            known = F.count(one).over(frame)
+            value = F.sum(one).over(frame).cast("double") / F.nullif(known.cast("double"), F.lit(0.0))
+        made[name] = F.when(known >= r.min_rows, value)
+    return segments.drop_extra(df.withColumns(made))
+
+
 def lags(col: str, window: WindowSpec, names: Mapping[str, int]) -> dict[str, Column]:
     return {name: F.lag(col, n).over(window) for name, n in names.items()}
 

@@ -177,6 +177,32 @@ def with_halo(
     return _add_side(df, extra)
 
 
+def with_time_halo(
+    df: DataFrame, keys: Sequence[str], at: str, cols: Sequence[str], span: int
+) -> DataFrame:
+    """Add the rows up to ``span`` before the first of each segment; no-op when nothing is cut.
+
+    ``at`` is a whole number that the frame was cut along (so rows equal in it are in
+    one segment).  However short segments are, a row is found by all that need it:
+    they meet by spans of time, of which a segment's halo touches two.
+    """
+    if SEG not in df.columns:
+        return df
+    cut = df.where(F.col(SEG).isNotNull())
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    slot = F.floor(F.col(at) / span).cast("long")
+    starts = cut.groupBy(*keys, SEG).agg(F.min(at).alias("_start"))
+    starts = starts.withColumn("_slot", F.explode(F.array(F.floor(F.col("_start") / span).cast("long") - 1, F.floor(F.col("_start") / span).cast("long"))))
+    starts = starts.withColumnsRenamed({**names, SEG: "_of"})
+    rows = cut.select(*keys, SEG, at, *[c for c in cols if c not in (*keys, at)], slot.alias("_slot"))
+    same = [F.col(k).eqNullSafe(F.col(renamed)) for k, renamed in names.items()]
+    near = (rows["_slot"] == starts["_slot"]) & (F.col(at) < F.col("_start")) & (F.col(at) >= F.col("_start") - span)
+    for part in same:
+        near = near & part
+    extra = rows.join(starts, near).select(*keys, F.col("_of").alias(SEG), at, *[c for c in cols if c not in (*keys, at)], F.lit(-1).alias(SIDE))
+    return _add_side(df, extra)
+
+
 def with_carry(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:

@@ -39,6 +39,21 @@ def exposures(
     return df if segmented else segments.drop_segments(df)
 
 
+def exposures_by_time(df: DataFrame, digits: int | None = panel.DEFAULT_DIGITS, least: float = 0.5) -> DataFrame:
+    """Exposures over hours of the clock instead of rows: a missing hour is not bridged.
+
+    ``least`` of a frame's hours, and one at least, must have a known reading (counted
+    as readings).  A hot station is cut along time.
+    """
+    have = [e for e in EXPOSURES if e.pollutant in df.columns]
+    timed = panel.with_micros(df, *SERIES_ORDER)
+    cut = segments.split_hot(timed, KEY, [panel.MICROS])
+    rolls = {e.column: panel.Roll(e.pollutant, e.rows, max(1, int(e.rows * least)), e.how) for e in have}
+    out = panel.rolling_hours(cut, KEY, rolls, digits).drop(panel.MICROS)
+    absent = {e.column: F.lit(None).cast("double") for e in EXPOSURES if e not in have}
+    return segments.drop_segments(out.withColumns(absent) if absent else out)
+
+
 def sub_indices(df: DataFrame) -> DataFrame:
     return df.withColumns(index.sub_indices(df.columns))
 

@@ -15,6 +15,7 @@ from ..functions.calendar import in_burn_window
 from ..functions.index import category, category_rank
 from ..functions.numeric import exact_mean
 from ..operators import distribution as dist
+from ..operators import sketch
 from .clean import present
 
 DIGITS = 6
@@ -57,6 +58,13 @@ def monthly_median(df: DataFrame, col: str = AQI, name: str | None = None) -> Da
     return dist.median(dated, ["State", "MonthEnd"], col, name or f"Median_{col}", DIGITS)
 
 
+def monthly_median_approx(df: DataFrame, col: str, name: str | None = None, size: int = sketch.KLL_SIZE) -> DataFrame:
+    """``monthly_median`` from a sketch per state and day; its rank is off by ``sketch.rank_error`` at most."""
+    days = sketch.by_group(df, ["State", F.to_date("Datetime").alias("Day")], [col], size=size)
+    months = sketch.merge(days.withColumn("MonthEnd", F.last_day("Day")), ["State", "MonthEnd"], size)
+    return sketch.estimates(months, {name or f"Median_{col}": (col, 0.5)})
+
+
 def monthly_median_pm25(df: DataFrame) -> DataFrame:
     out = monthly_median(df, "PM25")
     value = F.col("Median_PM25")

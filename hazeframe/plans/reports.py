@@ -11,6 +11,7 @@ from ..constants import INDEX_POLLUTANTS, NORTH_INDIA, Region
 from ..functions.calendar import season_code
 from ..functions.numeric import exact_mean, exact_sum, mean_of, round_even
 from ..operators import distribution as dist
+from ..operators import sketch
 from ..sources import tables
 from . import eda
 from .clean import present
@@ -38,6 +39,16 @@ def filter_domains(df: DataFrame) -> DataFrame:
 
 # --- page 1 -------------------------------------------------------------------
 
+def distinct_sketches(df: DataFrame) -> DataFrame:
+    """Sketches of stations and cities per state and day, to be stored and merged as asked."""
+    return sketch.by_group(df, ["State", F.to_date("Datetime").alias("Day")], distinct=["StationId", "City"])
+
+
+def distinct_approx(sketches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Stations and cities of groups of ``distinct_sketches``, with a relative error of ``sketch.distinct_error``."""
+    return sketch.estimates(sketch.merge(sketches, list(keys)), distinct={"Stations": "StationId", "Cities": "City"})
+
+
 def kpis(df: DataFrame) -> DataFrame:
     """Stations, cities, rows, year range and mean index.
 
