@@ -12,6 +12,7 @@ wanted positions, and only these few buckets are sorted.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,9 @@ from ..functions.numeric import mean_of, scaled
 
 ALL = "_all"  # key of the single group of an ungrouped statistic
 _BUCKETS_PER_E = 256
+# Width of a density's cells in bandwidths, and terms of their expansion.
+CELL = 0.5
+TERMS = 12
 
 
 def number_bucket(value: Column) -> Column:
@@ -238,6 +242,23 @@ def histogram(
     return _round(out, ["BinLow", "BinHigh", "Density"], digits)
 
 
+def _coefficients() -> list[Column]:
+    """Of the polynomial in z that a cell's kernels are: power sums times Hermite polynomials.
+
+    exp(-(z - u)^2 / 2) is exp(-z^2 / 2) times the sum of He_k(z) u^k / k!.
+    """
+    hermite = [[1.0], [0.0, 1.0]]
+    for k in range(2, TERMS):
+        ahead = [0.0, *hermite[-1]]
+        hermite.append([a - (k - 1) * b for a, b in zip(ahead, [*hermite[-2], 0.0, 0.0], strict=True)])
+    out = [F.lit(0.0)] * TERMS
+    for k, powers in enumerate(hermite):
+        for j, h in enumerate(powers):
+            if h:
+                out[j] = out[j] + F.col(f"_m{k}") * F.lit(h / math.factorial(k))
+    return out
+
+
 def density(
     counts: DataFrame,
     keys: Sequence[str],
@@ -249,9 +270,12 @@ def density(
     """Gaussian kernel density on a grid, bandwidth ``std * n ** (-1/5)``.
 
     The grid runs over the range of the group, widened by ``cut`` bandwidths and
-    by ``extend`` times the range on both sides.  A value adds to the points within
-    8 bandwidths (further terms are under 1e-13 of the peak); every task sums its
-    own values per point before the shuffle.  Points that no value reaches are 0.
+    by ``extend`` times the range on both sides.  Values are binned into cells of half
+    a bandwidth, of which only power sums are kept; around a cell's middle its kernels
+    add up to a Gaussian times a polynomial (a Hermite expansion, off by less than
+    1e-11 of the peak).  So a point costs what there are cells, however many values.
+    A cell adds to the points within 8 bandwidths (further terms are under 1e-13 of
+    the peak).  Points that no value reaches are 0.
     """
     ranged = _with_summary(counts, keys)
     s = F.col("_s")
@@ -276,15 +300,20 @@ def density(
     with_grid = _attach(counts, grid, keys, "_g")
     g = F.col("_g")
     x = g["from"] + g["step"] * F.col("Point")
-    z = (x - F.col("_v")) / g["bw"]
-    least = F.greatest(F.ceil((F.col("_v") - 8 * g["bw"] - g["from"]) / g["step"]), F.lit(0)).cast("int")
-    most = F.least(F.floor((F.col("_v") + 8 * g["bw"] - g["from"]) / g["step"]), F.lit(points - 1)).cast("int")
+    cell = F.floor((F.col("_v") - g["from"]) / (g["bw"] * CELL)).cast("long")
+    middle = g["from"] + (F.col("_cell") + 0.5) * (g["bw"] * CELL)
+    binned = with_grid.where(g["bw"].isNotNull()).withColumn("_cell", cell).withColumn("_u", (F.col("_v") - middle) / g["bw"])
+    sums = [F.sum(F.col("_n") * F.pow("_u", F.lit(float(k)))).alias(f"_m{k}") for k in range(TERMS)]
+    cells = binned.groupBy(*keys, "_cell").agg(*sums, F.first("_g").alias("_g"))
+    cells = cells.select(*keys, "_g", middle.alias("_c"), *[c.alias(f"_a{j}") for j, c in enumerate(_coefficients())])
+    least = F.greatest(F.ceil((F.col("_c") - 8 * g["bw"] - g["from"]) / g["step"]), F.lit(0)).cast("int")
+    most = F.least(F.floor((F.col("_c") + 8 * g["bw"] - g["from"]) / g["step"]), F.lit(points - 1)).cast("int")
     near = F.when(least <= most, F.sequence(least, most)).otherwise(F.array().cast("array<int>"))
-    reached = (
-        with_grid.where(g["bw"].isNotNull())
-        .select(*keys, "_v", "_n", "_g", F.explode(near).alias("Point"))
-        .select(*keys, "Point", (F.exp(-0.5 * z * z) * F.col("_n")).alias("_k"), "_g")
-    )
+    exploded = cells.withColumn("Point", F.explode(near)).withColumn("_z", (x - F.col("_c")) / g["bw"])
+    value = F.lit(0.0)
+    for j in reversed(range(TERMS)):
+        value = value * F.col("_z") + F.col(f"_a{j}")
+    reached = exploded.select(*keys, "Point", (F.exp(-0.5 * F.col("_z") * F.col("_z")) * value).alias("_k"), "_g")
     every = grid.where(g["bw"].isNotNull()).select(
         *keys, F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("Point"), F.lit(0.0).alias("_k"), "_g"
     )

@@ -1,6 +1,8 @@
 """Exact order statistics against numpy, for every shape of group."""
 
+import math
 import random
+import statistics
 
 import numpy as np
 import pytest
@@ -84,3 +86,18 @@ def test_correlation_skips_pairs_and_constants(spark):
     got = {(r["ColA"], r["ColB"]): r["Corr"] for r in dist.correlations(df, ["a", "b", "c"]).collect()}
     assert got[("b", "a")] == pytest.approx(np.corrcoef([1, 3, 5], [2, 5, 4])[0, 1], abs=1e-6)
     assert got[("c", "a")] is None
+
+
+def test_binned_density_is_exact_and_bounded_by_cells(spark):
+    """A long tail, a hot value and two groups; the exact curve is summed value by value."""
+    df = spark.range(3000).selectExpr("id % 2 AS k", "CASE WHEN id % 3 = 0 THEN 7.0D WHEN id % 101 = 0 THEN CAST(id AS DOUBLE) ELSE sin(id) * (id % 17) END AS x")
+    got = dist.density(dist.value_counts(df, ["k"], "x"), ["k"], points=60, cut=2, digits=None).collect()
+    rows = df.collect()
+    for k in (0, 1):
+        xs = [r["x"] for r in rows if r["k"] == k]
+        bw = statistics.stdev(xs) * len(xs) ** -0.2
+        norm = len(xs) * bw * math.sqrt(2 * math.pi)
+        want = {r["Point"]: math.fsum(math.exp(-0.5 * ((r["X"] - x) / bw) ** 2) for x in xs) / norm for r in got if r["k"] == k}
+        peak = max(want.values())
+        assert len(want) == 60
+        assert max(abs(r["Density"] - want[r["Point"]]) for r in got if r["k"] == k) < 1e-10 * peak
