@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeframe.operators import position, sketch
-from hazeframe.plans import aqi, eda, reports
+from hazeframe.plans import aqi, batch, eda, reports
 from hazeframe.sources import tables
 
 from . import sql as S
-from .catalog import A, B, CASES, IDS, MAXES, MEANS, _cases, check
-from .panels import daily, sensor
+from .catalog import A, B, CASES, IDS, MAXES, MEANS, ORACLES, _cases, check
+from .panels import REGION, SENSOR_TIE, daily, sensor
 
 # --- frames of time -----------------------------------------------------------
 
@@ -89,3 +89,11 @@ check(
     CASES + """ SELECT StationId, Datetime, AQI_Final, CASE WHEN pos < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS Part
       FROM (SELECT *, row_number() OVER (ORDER BY Datetime, StationId) - 1 AS pos, count(*) OVER () AS n FROM cases)""",
 )
+
+# --- observed metrics ---------------------------------------------------------
+
+check(
+    "quality_observed",
+    lambda s, d: batch.observed_quality(sensor(s, d).readings, sensor(s, d).stations, REGION, SENSOR_TIE),
+    ORACLES["quality_profile"],
+)

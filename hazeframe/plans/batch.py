@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,3 +102,28 @@ def quality(readings: DataFrame, stations: DataFrame, region: Region = NORTH_IND
         "clean": cleaned, "index": table, "features": features.engineer(table, region),
     }
     return reports.quality_profile(stages, POLLUTANTS)
+
+
+def observed_quality(
+    readings: DataFrame, stations: DataFrame, region: Region = NORTH_INDIA, tie=None, run: Callable[[DataFrame], None] | None = None
+) -> DataFrame:
+    """``quality`` from one run of the plan from raw rows to features.
+
+    ``run`` is the action, say a write of the feature table; by default the rows go
+    nowhere.  Hot stations are cut as in ``feature_table``.
+    """
+    seen = reports.Watch(POLLUTANTS)
+    joined = seen.watch(clean.attach_stations(readings, stations), "joined")
+    kept = seen.watch(clean.filter_states(joined, region.states), "states")
+    dated = seen.watch(clean.add_calendar(clean.parse_datetime(kept), region), "dated")
+    ties = clean.tie_break(dated, tie)
+    cut = segments.split_hot(dated, clean.KEY, clean.fill_order(dated, tie))
+    filled = seen.watch(clean.impute(cut, tie, segmented=True), "filled")
+    cleaned = seen.watch(clean.finalise(clean.dedup(filled, ties), drop=[*tables.ORDINAL, *ties]), "clean")
+    table = seen.watch(aqi.calculate(cleaned, segmented=True), "index")
+    made = seen.watch(features.engineer(table, region, segmented=True), "features")
+    if run:
+        run(segments.drop_segments(made))
+    else:
+        made.write.format("noop").mode("overwrite").save()
+    return seen.table(readings.sparkSession)

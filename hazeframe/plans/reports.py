@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import INDEX_POLLUTANTS, NORTH_INDIA, Region
@@ -243,3 +243,38 @@ def quality_profile(stages: Mapping[str, DataFrame], cols: Sequence[str]) -> Dat
         out = out.unionByName(part)
     before = F.lag("Rows").over(Window.orderBy("Step"))  # one row per stage
     return out.withColumn("Dropped", F.coalesce(before - F.col("Rows"), F.lit(0)))
+
+
+class Watch:
+    """The same figures gathered while a plan runs, by observed metrics.
+
+    Put on a frame at each stage, ``watch`` adds nothing to the plan but sums in passing;
+    ``table`` has them once an action has run the last frame.  States and cities are
+    counted by sketches: exact as long as there are some hundreds, beyond that with a
+    relative error of ``sketch.distinct_error``.
+    """
+
+    def __init__(self, cols: Sequence[str]):
+        self.cols = cols
+        self.stages: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, stage: str) -> DataFrame:
+        nulls = [F.when(F.col(c).isNull(), 1).otherwise(0) for c in present(df, self.cols)]
+        moment = F.col("Datetime").try_cast("timestamp_ntz")
+        several = [F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c), F.lit(sketch.HLL_BITS))).alias(c) for c in ("State", "City")]
+        self.stages[stage] = Observation(f"stage {stage}")
+        return df.observe(
+            self.stages[stage], F.count(F.lit(1)).alias("rows"), F.sum(sum(nulls, F.lit(0))).alias("nulls"),
+            F.min(moment).alias("first"), F.max(moment).alias("last"), *several,
+        )
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows, before = [], None
+        for step, (stage, seen) in enumerate(self.stages.items()):
+            # What Spark finds to be empty before it runs gives no figures.
+            got = seen.get if seen._jo.getRow().length() else dict.fromkeys(("rows", "nulls", "first", "last", "State", "City"))
+            n = got["rows"] or 0
+            rows.append((step, stage, n, got["nulls"] if n else None, got["first"], got["last"], got["State"] or 0, got["City"] or 0, 0 if before is None else before - n))
+            before = n
+        schema = "Step int, Stage string, Rows long, NullCells long, FirstTime timestamp_ntz, LastTime timestamp_ntz, States long, Cities long, Dropped long"
+        return spark.createDataFrame(rows, schema)

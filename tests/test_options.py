@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import catalog, compare, options  # noqa: F401
 from hazeframe.operators import panel, position, segments, sketch
-from hazeframe.plans import aqi, eda, reports
+from hazeframe.plans import aqi, batch, eda, reports
 
 from .helpers import bag
 
@@ -17,7 +17,7 @@ def con():
     return compare.oracle_connection(SF)
 
 
-@pytest.mark.parametrize("name", ["exposures_time", "sketch_medians", "sketch_distinct", "exact_split"])
+@pytest.mark.parametrize("name", ["exposures_time", "sketch_medians", "sketch_distinct", "exact_split", "quality_observed"])
 def test_oracle(spark, con, name):
     assert compare.difference(catalog.QUERIES[name](spark, SF), con, catalog.ORACLES[name]) is None
 
@@ -96,3 +96,30 @@ def test_positions_are_exact(spark):
     assert position.with_position(df.limit(0), ["a"]).count() == 0
     same = spark.range(100).selectExpr("1 AS a")
     assert sorted(r["Position"] for r in position.with_position(same, ["a"]).collect()) == list(range(100))
+
+
+def test_observed_profile_is_the_same_for_cut_stations_and_comes_from_the_run(spark):
+    panel_of = options.sensor(spark, SF)
+    want = bag(catalog.QUERIES["quality_profile"](spark, SF))
+    written = []
+    spark.conf.set(segments.SEGMENT_ROWS, "20")
+    try:
+        found = batch.observed_quality(panel_of.readings, panel_of.stations, options.REGION, options.SENSOR_TIE, run=lambda df: written.append(df.count()))
+        assert bag(found) == want
+    finally:
+        spark.conf.unset(segments.SEGMENT_ROWS)
+    assert written == [r["Rows"] for r in found.collect() if r["Stage"] == "features"]
+
+
+def test_observed_profile_reads_raw_rows_once(spark):
+    """But for the count of rows per station, which every plan takes first."""
+    panel_of, plans = options.sensor(spark, SF), []
+    run = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df.write.format("noop").mode("overwrite").save()
+    assert batch.observed_quality(panel_of.readings, panel_of.stations, options.REGION, options.SENSOR_TIE, run=run).count() == 7
+    assert plans[0].split("== Initial Plan ==")[-1].count("events.parquet") == 1 and plans[0].count("CollectMetrics") >= 7
+
+
+def test_observed_profile_of_no_rows(spark):
+    panel_of = options.sensor(spark, SF)
+    found = batch.observed_quality(panel_of.readings.limit(0), panel_of.stations, options.REGION, options.SENSOR_TIE).collect()
+    assert [(r["Rows"], r["Dropped"], r["FirstTime"]) for r in found] == [(0, 0, None)] * 7
