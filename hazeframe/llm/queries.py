@@ -110,20 +110,22 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op5_url_filters"] = r"""
 WITH hosts AS (
-  SELECT page_id, url, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS host,
-    nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1), '') AS step,
+  SELECT page_id, url, nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.'), '') AS host,
+    host || rtrim(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/+', '/', 'g'), '/') AS address,
     DATE '2024-01-01' + (('0x' || substr(md5(coalesce(url, '')), 1, 4))::INTEGER % 500) AS fetched_on
   FROM pages),
+split AS (SELECT *, string_split(host, '.') AS labels, string_split(address, '/') AS steps FROM hosts WHERE host IS NOT NULL),
 keys AS (
-  SELECT page_id, url, fetched_on, u.level, u.pos, CASE u.level WHEN 'domain' THEN nullif(regexp_extract(host, '([^.]+\.[^.]+)$', 1), '')
-    WHEN 'host' THEN host ELSE host || '/' || step END AS key
-  FROM hosts, (VALUES ('domain', 1), ('host', 2), ('path', 3)) AS u(level, pos)),
+  SELECT page_id, url, fetched_on, 'domain' AS level, 1 AS pos, d AS depth, array_to_string(labels[len(labels) - d + 1 :], '.') AS key
+  FROM split, range(2, len(labels) + 1) AS t(d)
+  UNION ALL SELECT page_id, url, fetched_on, 'host', 2, 0, host FROM split
+  UNION ALL SELECT page_id, url, fetched_on, 'path', 3, d, array_to_string(steps[1 : d + 1], '/') FROM split, range(1, len(steps)) AS t(d)),
 entries AS (
   SELECT DISTINCT level, key, DATE '2024-01-01' + (('0x' || substr(md5(level || ':' || key), a.digit, 4))::INTEGER % 500) AS listed_on, a.action
   FROM keys, (VALUES ('block', 1), ('allow', 5), ('block', 9)) AS a(action, digit) WHERE key IS NOT NULL),
 found AS (
   SELECT k.page_id, k.url, k.fetched_on, k.level, k.key, k.pos, e.listed_on, e.action,
-    row_number() OVER (PARTITION BY k.page_id ORDER BY k.pos DESC, e.listed_on DESC, e.action DESC) AS n
+    row_number() OVER (PARTITION BY k.page_id ORDER BY k.pos DESC, k.depth DESC, e.listed_on DESC, e.action DESC) AS n
   FROM keys k JOIN entries e ON e.level = k.level AND e.key = k.key AND e.listed_on <= k.fetched_on)
 SELECT h.page_id, h.url, h.fetched_on::VARCHAR AS fetched_on, f.level AS matched_level, f.key AS matched_key, f.listed_on::VARCHAR AS listed_on,
   CASE f.action WHEN 'block' THEN 'blocked' WHEN 'allow' THEN 'allowed' ELSE 'unlisted' END AS verdict, coalesce(f.action <> 'block', true) AS kept

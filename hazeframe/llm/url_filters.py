@@ -1,11 +1,13 @@
 """URL filters whose lists change over time, in DataFrame functions.
 
-A list is a log: at some time an entry blocks a domain, host or path, or allows it
-again.  Entries become validity intervals, from one entry of a key to its next, and
-intervals are cut at the ends of periods.  A capture joins the interval of its key
-and period that holds its fetch time, so the as-of join is an equi-join of bounded
-work even where one key has a third of the captures and a long history.  Of a
-capture's keys the most specific one that is listed decides.
+A list is a log: at some time an entry blocks a domain with all hosts below it, a
+host alone or a path with all below it, or allows it again.  Entries become validity
+intervals, from one entry of a key to its next, and intervals are cut at the ends of
+periods.  A capture has a key for each parent of its host and its path that the list
+is deep enough for; each joins the interval of its key and period that holds the fetch
+time, so the as-of join is an equi-join of bounded work even where one key has a long
+history.  Keys with very many captures are dealt into shares.  Of a capture's keys the
+most specific one that is listed decides.
 """
 
 from __future__ import annotations
@@ -18,22 +20,46 @@ from . import common
 
 # Days in a period.
 PERIOD = 30
-# Keys of a URL, the most specific last.
+# Kinds of entries, the most specific last.
 LEVELS = ("domain", "host", "path")
+# A key and period with more than one in so many of the captures' keys is hot, so there are fewer hot ones than this.
+HOT = 1000
+# Labels of the shortest domains that the derived list has.
+LABELS = 2
 
 
 def host_of(url: Column) -> Column:
-    """Host in lower case, without login and port; null if the URL has none."""
+    """Host in lower case, without login, port and dots at its end; null if the URL has none."""
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    host = F.rtrim(host, F.lit("."))
     return F.when(host != "", host)
 
 
-def keys_of(url: Column) -> dict[str, Column]:
-    """List keys: the host's last two labels, the host, the host with the path's first step."""
-    host = host_of(url)
-    step = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
-    domain = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    return {"domain": F.when(domain != "", domain), "host": host, "path": F.when(step != "", F.concat(host, F.lit("/"), step))}
+def address_of(url: Column) -> Column:
+    """Host and path, single slashes and none at the end; null if the URL has no host."""
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    return F.concat(host_of(url), F.rtrim(F.regexp_replace(path, "/+", "/"), F.lit("/")))
+
+
+def _depth(level: str, text: str) -> str:
+    """SQL: labels of a domain, steps of a path; 0 for a host."""
+    if level == "host":
+        return "0"
+    return f"length({text}) - length(replace({text}, '.', '')) + 1" if level == "domain" else f"length({text}) - length(replace({text}, '/', ''))"
+
+
+def keys_of(host: str, address: str, depths: dict[str, str]) -> Column:
+    """Array of ``level``, ``depth``, ``key`` from two columns; ``depths`` has SQL arrays of the depths wanted, by level.
+
+    A domain key is the host's last labels, a path key the host with its first steps.
+    """
+    key = {"domain": f"substring_index({host}, '.', -d)", "host": host, "path": f"substring_index({address}, '/', d + 1)"}
+    of = {"domain": host, "host": host, "path": address}
+    parts = []
+    for level in LEVELS:
+        deep = f"filter({depths[level]}, d -> d <= {_depth(level, of[level])})"
+        parts.append(f"transform({deep}, d -> struct('{level}' AS level, cast(d AS int) AS depth, {key[level]} AS key))")
+    return F.when(F.expr(f"{host} IS NOT NULL"), F.expr(f"concat({', '.join(parts)})"))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -49,52 +75,77 @@ def intervals(entries: DataFrame) -> DataFrame:
     return daily.withColumn("until", later)
 
 
-def _periods(listed: DataFrame, last: Column) -> DataFrame:
-    """Intervals, once for each period they reach into, up to the period of the last capture."""
-    first = _period(F.col("listed_on"))
-    to = F.least(F.coalesce(_period(F.date_sub("until", 1)), last), last)
-    return listed.withColumn("period", F.explode(F.when(to >= first, F.sequence(first, to)).otherwise(F.array().cast("array<int>"))))
+def _numbers(values: list[int]) -> str:
+    """SQL of an array of integers."""
+    return f"cast(split('{','.join(map(str, sorted(values)))}', ',') AS array<int>)" if values else "cast(array() AS array<int>)"
+
+
+def _periods(listed: DataFrame, periods: list[int]) -> DataFrame:
+    """Intervals, once for each of the captures' periods they reach into."""
+    first, to = _period(F.col("listed_on")), _period(F.date_sub("until", 1))
+    return listed.withColumns({"first": first, "to": to}).withColumn("period", F.explode(F.expr(f"filter({_numbers(periods)}, p -> p >= first AND (to IS NULL OR p <= to))"))).drop("first", "to")
 
 
 def _period(day: Column) -> Column:
     return F.floor(F.unix_date(day) / PERIOD).cast("int")
 
 
+def _normal(entries: DataFrame) -> DataFrame:
+    """Entries with keys written as captures' are: host in lower case, no dots or slashes at the end."""
+    key = F.col("key").cast("string")
+    host = F.rtrim(F.lower(F.substring_index(key, "/", 1)), F.lit("."))
+    steps = F.rtrim(F.regexp_replace(F.regexp_extract(key, r"^[^/]*(/.*)$", 1), "/+", "/"), F.lit("/"))
+    clean = F.when(F.col("level") == "path", F.concat(host, steps)).otherwise(F.rtrim(F.lower(key), F.lit(".")))
+    return entries.select("level", F.when(clean != "", clean).alias("key"), F.col("listed_on").cast("date").alias("listed_on"), "action")
+
+
 def evaluate(
     captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", day_col: str = "fetched_on"
 ) -> DataFrame:
     """Per capture: ``page_id``, ``url``, ``fetched_on``, ``matched_level``, ``matched_key``, ``listed_on``, ``verdict``, ``kept``.
 
-    The verdict is "blocked" or "allowed" by the entry that was active on the fetch
-    day (an entry is active from its day on), or "unlisted".  Captures that are
-    blocked are not kept.  A null or malformed URL, or a null day, is unlisted.
-    Repeated captures are judged one by one.  Other columns are not looked at.  An
-    empty list leaves all unlisted, an empty table gives no rows.
+    ``entries`` has ``level``, ``key``, ``listed_on`` and ``action``.  A "domain" entry
+    holds for the host of its name and all below it, whatever the number of labels
+    ("example.org", "co.uk"), a "host" entry for that host alone, a "path" entry
+    ("example.org/a/b") for that path of that host and all below it.  Of the entries
+    active on the fetch day (from their own day on) the longest path decides, else the
+    host, else the longest domain: the verdict is "blocked" or "allowed", or "unlisted"
+    if there is none.  Captures that are blocked are not kept.
+
+    A null or malformed URL, or a null day, is unlisted.  Repeated captures are judged
+    one by one.  Other columns are not looked at.  An empty list leaves all unlisted,
+    an empty table gives no rows.
     """
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(day_col).cast("date").alias("fetched_on"))
-    rows = rows.withColumns({f"key_{level}": key for level, key in keys_of(F.col("url")).items()}).withColumn("at", _period(F.col("fetched_on")))
-    last = rows.agg(F.max("at")).first()[0]
-    listed = common.store(_periods(intervals(entries), F.lit(last).cast("int")), "intervals")
-    for level in LEVELS:
-        side = listed.where(F.col("level") == level).select(
-            F.col("key").alias("list_key"), "period", F.col("until").alias("list_until"), F.col("listed_on").alias(f"from_{level}"), F.col("blocks").alias(f"blocks_{level}")
-        )
-        active = (F.col("fetched_on") >= F.col(f"from_{level}")) & (F.col("list_until").isNull() | (F.col("fetched_on") < F.col("list_until")))
-        rows = rows.join(side, (F.col(f"key_{level}") == F.col("list_key")) & (F.col("at") == F.col("period")) & active, "left")
-        rows = rows.drop("list_key", "period", "list_until")
-    best = [F.col(f"blocks_{level}").isNotNull() for level in LEVELS]
-
-    def pick(values: list[Column]) -> Column:
-        out = F.lit(None)
-        for listed_there, value in zip(best, values, strict=True):
-            out = F.when(listed_there, value).otherwise(out)
-        return out
-
-    blocks = pick([F.col(f"blocks_{level}") for level in LEVELS])
+    rows = rows.withColumns({"host": host_of(F.col("url")), "address": address_of(F.col("url")), "period": _period(F.col("fetched_on"))})
+    rows = common.store(rows.withColumn("row", F.monotonically_increasing_id()), "captures")
+    # One number for each month or so of the calendar that has captures.
+    periods = [p for (p,) in rows.where("period IS NOT NULL").select("period").distinct().collect()]
+    depth = F.expr("CASE level " + " ".join(f"WHEN '{level}' THEN {_depth(level, 'key')}" for level in LEVELS) + " END").cast("int")
+    listed = common.store(_periods(intervals(_normal(entries)).withColumn("depth", depth), periods), "intervals")
+    # Depths that differ: their number grows at most with the root of the list's bytes.
+    asked = {level: _numbers([]) for level in LEVELS}
+    asked.update({r["level"]: _numbers(r["depths"]) for r in listed.groupBy("level").agg(F.collect_set("depth").alias("depths")).collect() if r["level"] in asked})
+    keys = rows.where("period IS NOT NULL").select("row", "fetched_on", "period", F.explode(keys_of("host", "address", asked)).alias("one"))
+    keys = keys.select("row", "fetched_on", "period", "one.*")
+    by = ["level", "key", "period"]
+    counts = keys.groupBy(*by).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    each = max(1, total // HOT)
+    # Fewer than 2 * HOT rows.
+    hot = common.store(counts.where(F.col("n") > each).select(*by, F.ceil(F.col("n") / each).cast("int").alias("shares")), "hot-keys")
+    shares = F.coalesce("shares", F.lit(1))
+    dealt = keys.join(F.broadcast(hot), by, "left").withColumn("share", F.pmod(F.xxhash64("row"), shares).cast("int")).drop("shares")
+    side = listed.join(F.broadcast(hot), by, "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("shares", "depth")
+    active = (F.col("fetched_on") >= F.col("listed_on")) & (F.col("until").isNull() | (F.col("fetched_on") < F.col("until")))
+    found = dealt.join(side, [*by, "share"]).where(active)
+    rank = F.expr("CASE level " + " ".join(f"WHEN '{level}' THEN {n}" for n, level in enumerate(LEVELS)) + " END")
+    best = found.groupBy("row").agg(F.max(F.struct(rank.alias("rank"), "depth", "level", "key", "listed_on", "blocks")).alias("best"))
+    blocks = F.col("best.blocks")
     verdict = F.when(blocks, "blocked").when(~blocks, "allowed").otherwise("unlisted")
-    return rows.select(
-        "page_id", "url", "fetched_on", pick([F.lit(level) for level in LEVELS]).alias("matched_level"), pick([F.col(f"key_{level}") for level in LEVELS]).alias("matched_key"),
-        pick([F.col(f"from_{level}") for level in LEVELS]).alias("listed_on"), verdict.alias("verdict"), (~F.coalesce(blocks, F.lit(False))).alias("kept"),
+    return rows.join(best, "row", "left").select(
+        "page_id", "url", "fetched_on", F.col("best.level").alias("matched_level"), F.col("best.key").alias("matched_key"),
+        F.col("best.listed_on").alias("listed_on"), verdict.alias("verdict"), (~F.coalesce(blocks, F.lit(False))).alias("kept"),
     )
 
 
@@ -110,13 +161,17 @@ def dated_captures(pages: DataFrame) -> DataFrame:
 
 
 def dated_list(pages: DataFrame) -> DataFrame:
-    """A block list with a history: every key that the pages' URLs have, listed, taken off and listed again.
+    """A block list with a history: every domain, host and path of the pages' URLs, listed, taken off and listed again.
 
-    The three days of a key come from a hash of it, so some keys are listed before and
-    some after their pages were fetched.
+    Domains have two labels or more.  The three days of a key come from a hash of it,
+    so some keys are listed before and some after their pages were fetched.
     """
-    keyed = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), key.alias("key")) for level, key in keys_of(F.col("url")).items()])).alias("one")
-    keys = pages.select(keyed).select("one.*").where("key IS NOT NULL").distinct()
+    rows = pages.select(host_of(F.col("url")).alias("host"), address_of(F.col("url")).alias("address")).distinct()
+    every = {
+        "domain": f"sequence({LABELS}, greatest({LABELS}, {_depth('domain', 'host')}))",
+        "host": "array(0)", "path": f"sequence(1, greatest(1, {_depth('path', 'address')}))",
+    }
+    keys = rows.select(F.explode(keys_of("host", "address", every)).alias("one")).select("one.level", "one.key").distinct()
     text = F.concat("level", F.lit(":"), "key")
     actions = [("block", 1), ("allow", 5), ("block", 9)]
     log = F.explode(F.array(*[F.struct(_day(text, digit).alias("listed_on"), F.lit(action).alias("action")) for action, digit in actions])).alias("entry")
