@@ -2,12 +2,13 @@
 
 From each rule's regular expression follows a Boolean query over trigrams: strings
 of three bytes that any match must hold.  An inverted index has the texts of each
-trigram; posting lists are intersected and united as the query says, and only the
-candidates that remain are verified with the expression itself.  A rule without a
-mandatory trigram is run over every text.
+trigram, in sorted posting lists; these are intersected and united as the query says,
+shard by shard, and only the candidates that remain are verified with the expression
+itself.  A rule without a mandatory trigram is run over every text.
 
 The index folds A-Z to lower case.  It covers the trigrams that the rules ask for,
-or all that occur (``vocabulary=None``), and its lists are cut into shards of texts.
+or all that occur (``vocabulary=None``).  A shard has a bounded number of texts, so
+its lists fit one task, whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -168,29 +170,40 @@ def trigrams(query: Query) -> set[bytes]:
     return set() if query is True else set().union(*map(trigrams, query[1]))
 
 
-def holds(query: Query, have: Column) -> Column:
-    """The query over a column with a text's trigrams (as text)."""
+def satisfying(query: Query, lists: dict[bytes, np.ndarray]) -> np.ndarray:
+    """Sorted keys that satisfy the query, from sorted posting lists without repeats."""
     if query is True:
-        return F.lit(True)
+        raise ValueError("a query without a trigram has no posting lists")
     if isinstance(query, bytes):
-        return F.array_contains(have, query.decode("latin-1"))
-    parts = [holds(q, have) for q in query[1]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out & p if query[0] == "and" else out | p
+        return lists.get(query, np.empty(0, np.int64))
+    found = sorted((satisfying(q, lists) for q in query[1]), key=len)
+    out = found[0]
+    for other in found[1:]:
+        out = np.intersect1d(out, other, assume_unique=True) if query[0] == "and" else np.union1d(out, other)
     return out
 
 
 def _grams(vocabulary: list[bytes] | None):
+    """Trigrams of each text, in one pass over its bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = None
+        if vocabulary is not None:
+            wanted = np.zeros(1 << 24, bool)
+            wanted[[int.from_bytes(g, "big") for g in vocabulary]] = True
         for batch in batches:
-            keys, found = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = text.as_buffer().to_pybytes().lower()
-                here = {data[i : i + 3] for i in range(len(data) - 2)} if vocabulary is None else [g for g in vocabulary if g in data]
-                keys += [key] * len(here)
-                found += [g.decode("latin-1") for g in here]
-            yield pa.record_batch([pa.array(found, pa.string()), pa.array(keys, pa.int64())], names=["gram", "text_key"])
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, data, bounds in common.chunks(batch.column(1)):
+                codes = common.LOWER[data].astype(np.uint32)
+                codes = codes[:-2] << 16 | codes[1:-1] << 8 | codes[2:]
+                at = np.arange(len(codes)) if wanted is None else np.flatnonzero(wanted[codes])
+                # A trigram is one text's, so the next one begins behind it.
+                text = np.searchsorted(bounds, at, "right") - 1
+                inside = at + 3 <= bounds[text + 1]
+                pairs = np.unique(text[inside].astype(np.uint64) << np.uint64(24) | codes[at[inside]])
+                found = (pairs & np.uint64(0xFFFFFF)).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
+                grams = [g.tobytes().decode("latin-1") for g in found]
+                yield pa.record_batch([pa.array(grams, pa.string()), pa.array(keys[row + (pairs >> np.uint64(24)).astype(np.int64)], pa.int64())], names=["gram", "text_key"])
 
     return run
 
@@ -208,13 +221,34 @@ def build_index(rows: DataFrame, vocabulary: set[bytes] | None = None, shard: in
     return common.store(lists.agg(F.array_sort(F.collect_set("text_key")).alias("texts")), "postings")
 
 
+def _match(queries: dict[str, Query]):
+    """Texts of one shard that its posting lists let through, and the rules that they may match."""
+    kinds = pa.array(list(queries), pa.string())
+
+    def run(shard: pa.Table) -> pa.Table:
+        texts = shard.column("texts").combine_chunks()
+        grams = shard.column("gram").to_pylist()
+        lists = {g.encode("latin-1"): texts[k].values.to_numpy(zero_copy_only=False) for k, g in enumerate(grams)}
+        found = [satisfying(q, lists) for q in queries.values()]
+        keys = np.concatenate(found)
+        rules = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        order = np.argsort(keys, kind="stable")
+        each, starts = np.unique(keys[order], return_index=True)
+        listed = pa.ListArray.from_arrays(pa.array(np.append(starts, len(keys)), pa.int32()), kinds.take(pa.array(rules[order])))
+        return pa.table({"text_key": pa.array(each, pa.int64()), "kinds": listed})
+
+    return run
+
+
 def candidates(postings: DataFrame, queries: dict[str, Query]) -> DataFrame:
-    """``text_key``, ``kinds``: texts and the rules whose queries their posting lists satisfy."""
+    """``text_key``, ``kinds``: texts and the rules whose queries their posting lists satisfy.
+
+    Lists of one shard meet in one task: as many as trigrams are asked for, each of at
+    most a shard's texts.
+    """
     asked = sorted(g.decode("latin-1") for g in set().union(*map(trigrams, queries.values())))
-    listed = postings.where(F.col("gram").isin(asked)).select("gram", F.explode("texts").alias("text_key"))
-    have = listed.groupBy("text_key").agg(F.collect_set("gram").alias("have"))
-    kinds = F.filter(F.array(*[F.when(holds(q, F.col("have")), F.lit(k)) for k, q in queries.items()]), lambda k: k.isNotNull())
-    return have.select("text_key", kinds.alias("kinds")).where(F.size("kinds") > 0)
+    lists = postings.where(F.col("gram").isin(asked))
+    return lists.groupBy("shard").applyInArrow(_match(queries), "text_key long, kinds array<string>")
 
 
 def _verify(base: Sequence[Rule], more: Sequence[Rule], full: set[str]):
@@ -253,12 +287,13 @@ def scan_secrets(
     dropped.
 
     A null text is empty and has none.  Rows are scanned one by one, repeated ones and
-    such without an id too; texts are found in the index by a 64-bit hash, which can
-    only add candidates.  Other columns are not looked at.  An empty table gives no
+    such without an id too; the index knows a row by a 64-bit hash of its id and text,
+    so copies of a text don't meet in one task, and equal hashes can only add
+    candidates.  Other columns are not looked at.  An empty table gives no
     rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    rows = rows.withColumn("text_key", F.xxhash64("doc_id", "text"))
     queries = {r.kind: trigram_query(r.pattern) for r in (*base, *more)}
     indexed = {k: q for k, q in queries.items() if q is not True}
     if indexed:

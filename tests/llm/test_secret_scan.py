@@ -2,9 +2,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from hazeframe.llm.secret_scan import BASE, MORE, Rule, build_index, candidates, scan_secrets, trigram_query, trigrams
+from hazeframe.llm import common
+from hazeframe.llm.secret_scan import BASE, MORE, Rule, _grams, build_index, candidates, satisfying, scan_secrets, trigram_query, trigrams
 from pyspark.sql import functions as F
 
 # The base rules once more, written out in another way.
@@ -90,6 +93,46 @@ def test_posting_lists_are_sharded_and_intersected(spark):
     assert build_index(rows, None).where("gram = 'bcd'").agg(F.sum(F.size("texts"))).first()[0] == 66
 
 
+def test_queries_over_posting_lists_equal_sets():
+    def plain(query, sets):
+        if isinstance(query, bytes):
+            return sets.get(query, set())
+        parts = [plain(q, sets) for q in query[1]]
+        return set.intersection(*parts) if query[0] == "and" else set.union(*parts)
+
+    rng = random.Random(4)
+    grams = [b"abc", b"bcd", b"cde", b"def", b"xyz"]
+
+    def query(depth=0):
+        if depth > 2 or rng.random() < 0.3:
+            return rng.choice(grams)
+        return rng.choice(["and", "or"]), tuple(query(depth + 1) for _ in range(rng.randint(1, 3)))
+
+    for _ in range(200):
+        sets = {g: set(rng.sample(range(-40, 40), rng.randint(0, 60))) for g in grams[:4]}
+        one = query()
+        assert satisfying(one, {g: np.array(sorted(v), np.int64) for g, v in sets.items()}).tolist() == sorted(plain(one, sets))
+
+
+def test_index_has_the_trigrams_of_every_text(spark, monkeypatch):
+    # Small chunks: texts of several chunks, and trigrams that would cross texts.
+    monkeypatch.setattr(common.chunks, "__defaults__", (16,))
+    rng = random.Random(6)
+    texts = ["", "a", "ab", "c", "ABC", "é", "aé", "ab" * 30, *("".join(rng.choices("aBcé ", k=rng.randint(0, 9))) for _ in range(200))]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["text_key", "text"])
+    want = {(k, d[i : i + 3]) for k, t in enumerate(texts) for d in [t.encode().lower()] for i in range(len(d) - 2)}
+    pairs = lambda words: [(k, g.encode("latin-1")) for b in _grams(words)(iter([batch])) for g, k in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert sorted(pairs(None)) == sorted(want)
+    asked = [b"abc", b"aba", b"bab", "aé".encode()]
+    assert sorted(pairs(asked)) == sorted((k, g) for k, g in want if g in asked)
+
+
+def test_lists_meet_by_shard_and_are_not_unrolled(spark):
+    rows = spark.createDataFrame([(k, "abc bcd" * (k % 2)) for k in range(50)], "text_key long, text string")
+    plan = candidates(build_index(rows, {b"abc", b"bcd"}, shard=10), {"both": trigram_query("abc.*bcd")})._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Generate" not in plan and "explode" not in plan
+
+
 def test_hex_is_scanned_fully_and_others_by_index():
     assert [r.kind for r in (*BASE, *MORE) if trigram_query(r.pattern) is True] == ["hex"]
 
