@@ -5,7 +5,9 @@ places of their blocks: the labels from the root, as simple tree matching does,
 aligns blocks only if their parents are.  A text that most pages have at the same place
 belongs to the template, those that vary are slots, and the slots' text is content,
 unless the markup itself says that they are menus, adverts, forms, notices, comments
-and the like.  Every page is aligned with every other one, as all their places and
+and the like.  A form, or a word that may as well name a subject ("related work"), is no
+proof: such a container's text, links and controls are weighed against it, and so is a
+short article against much more text beside it.  Every page is aligned with every other one, as all their places and
 texts are counted; no page is a pivot.
 
 A host may have several templates, so votes are counted in groups: all its pages, those
@@ -29,6 +31,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
+# Characters outside links of a long block; the share of links that prose stays below, and that long prose does.
+LONG = 100
+LINKED, FEW_LINKED = 1 / 3, 0.1
+# Text outside all articles, to theirs, beyond which an article is a teaser.
+BESIDE = 2
 # Levels of elements below the root that are a page's frame.
 FRAME = 3
 # Pages that must agree at least, and the share of votes that makes a node constant.
@@ -59,12 +66,24 @@ WORDS = frozenset(
     "newsletter subscribe subscription signup login signin comment comments commentlist disqus respond replies share sharing social related "
     "recommended recommendations pagination pager toolbar copyright masthead skiplink".split()
 )
+# Words of these that name subjects too, and words that say no more about an element than its look.
+DOUBTFUL = frozenset("social related share sharing recommended recommendations promotion respond replies copyright menu sponsor sponsors navigation".split())
+LAYOUT = frozenset(
+    "area article articles bar block body bottom box button buttons card cards center col column container content entries entry facebook follow footer grid group header heading "
+    "icon icons inner item items left link links list media mini module more network networks news outer page panel post posts read reading right row section side stories story "
+    "title tools top twitter wrap wrapper".split()
+)
+CONTROLS = frozenset("label select button".split())
 HEADERS = frozenset(["header", "masthead"])
 HEADINGS = frozenset("h1 h2 h3".split())
 STATES = frozenset("has with without no is".split())
 COMMENTS = frozenset("comment ad advert related promo sponsored".split())
 MAIN = frozenset(["article", "main"])
 STRUCTURE = frozenset("html body center div section article main header footer nav aside form fieldset".split())
+DOUBTS = frozenset(["form", "doubt", "subject"])
+# Names of a control say as little as links do.
+LINKS = frozenset(["a", "label"])
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd td".split())
 P, NOT_P = frozenset(["p"]), BLOCKS - {"p"}
 # Blocks nested deeper belong to the block at this depth.
 DEPTH = 150
@@ -90,7 +109,7 @@ class Node:
 
 
 def _furniture(tag: str, attributes: str) -> tuple[str, str]:
-    """Class words as a label; and "drop", "header" or "" for the element."""
+    """Class words as a label; and "drop", "header", "form", "doubt", "subject" or "" for the element."""
     names, role, hidden = [], "", False
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         value, name = "".join(values).lower(), name.lower()
@@ -107,8 +126,12 @@ def _furniture(tag: str, attributes: str) -> tuple[str, str]:
     words = WORDS.intersection(names)
     if tag == "article":
         return label, "drop" if words & COMMENTS else ""
-    if hidden or tag in FURNITURE or words - HEADERS or role in ROLES - {"banner"}:
+    if hidden or tag in FURNITURE - {"form"} or words - HEADERS - DOUBTFUL or role in ROLES - {"banner"}:
         return label, "drop"
+    if tag == "form":
+        return label, "form"
+    if words & DOUBTFUL:
+        return label, "subject" if any(len(n) > 3 and n.isalpha() for n in set(names) - WORDS - LAYOUT) else "doubt"
     return label, "header" if tag == "header" or HEADERS.intersection(names) or role == "banner" else ""
 
 
@@ -181,6 +204,32 @@ def _has_heading(node: Node) -> bool:
     return False
 
 
+class Doubt:
+    """What speaks for and against a container that may be furniture; ``outer`` is the number of the one around it."""
+
+    def __init__(self, kind: str, outer: int):
+        self.kind, self.outer = kind, outer
+        self.chars = self.linked = self.longest = self.paragraphs = self.controls = 0
+
+    def add(self, chars: int, linked: int, longest: int, paragraphs: int) -> None:
+        self.chars += chars
+        self.linked += linked
+        self.longest = max(self.longest, longest)
+        self.paragraphs += paragraphs
+
+    def is_content(self, beside: int) -> bool:
+        """Prose that is named as a subject, or long, or outweighs the text ``beside`` it; of a form, only the last.
+
+        A form has to have more paragraphs than controls, too.
+        """
+        if not self.paragraphs or self.linked > LINKED * self.chars:
+            return False
+        outweighs = self.chars - self.linked >= beside
+        if self.kind == "form":
+            return outweighs and self.paragraphs > self.controls
+        return outweighs or self.kind == "subject" or self.longest >= LONG and self.linked <= FEW_LINKED * self.chars
+
+
 class Page:
     """Blocks of text of a page, each with its place in the tree.
 
@@ -192,17 +241,48 @@ class Page:
 
     def __init__(self, page: str):
         self.blocks: list[list] = []
+        # Containers in doubt, by number; 0 is none.
+        self._doubts = [Doubt("", 0)]
+        self._marked = False
         self.tree = self._walk(parse(page), "", "")
+        self._weigh()
         self.has_main = any(b[2] == "main" for b in self.blocks)
 
+    def _weigh(self) -> None:
+        """Decide on the containers in doubt, inner ones first, and on articles that are teasers."""
+        sure = self._doubts[0]
+        for path, text, state, linked, doubt in self.blocks:
+            if state != "drop":
+                last = path.rpartition("/")[2].partition(".")[0]
+                own = len(text) - linked
+                self._doubts[doubt].add(len(text), linked, own, own > 0 and (last in PARAGRAPHS))
+        beside, kept = sure.chars - sure.linked, [True] * len(self._doubts)
+        for n in range(len(self._doubts) - 1, 0, -1):
+            one = self._doubts[n]
+            kept[n] = one.is_content(beside)
+            outer = self._doubts[one.outer]
+            outer.controls += one.controls
+            if kept[n] and one.outer:
+                outer.add(one.chars, one.linked, one.longest, one.paragraphs)
+        for n in range(1, len(kept)):
+            kept[n] = kept[n] and kept[self._doubts[n].outer]
+        for b in self.blocks:
+            b[2] = b[2] if kept[b.pop()] else "drop"
+        if not self._marked:
+            article = sum(len(b[1]) - b[3] for b in self.blocks if b[2] == "main")
+            rest = sum(len(b[1]) - b[3] for b in self.blocks if b[2] == "" and len(b[1]) - b[3] >= LONG)
+            if rest > BESIDE * article:
+                for b in self.blocks:
+                    b[2] = "" if b[2] == "main" else b[2]
+
     def _walk(self, root: Node, path: str, state: str) -> tuple:
         """Iterative, as markup can nest without end; gives (label, children), where a block is its number."""
         top: list = ["", []]
         # Open block: texts, link characters.
         text: list[str] = []
         linked = 0
-        here = (path, state)
-        todo: list[tuple] = [("enter", root, path, state, top[1], False, 0)]
+        here = (path, state, 0)
+        todo: list[tuple] = [("enter", root, path, state, top[1], False, 0, 0)]
 
         def flush(into: list) -> None:
             nonlocal linked
@@ -210,28 +290,33 @@ class Page:
                 joined = " ".join(references.unescape("".join(text)).split())
                 if joined:
                     into.append(len(self.blocks))
-                    self.blocks.append([here[0], joined, here[1], linked])
+                    self.blocks.append([here[0], joined, here[1], min(linked, len(joined)), here[2]])
                 text.clear()
             linked = 0
 
         while todo:
-            what, node, path, state, into, link, depth = todo.pop()
+            what, node, path, state, into, link, depth, doubt = todo.pop()
             if what == "text":
                 text.append(node)
                 linked += len(node) if link else 0
                 continue
             if what == "leave":
-                here = (path, state)
+                here = (path, state, doubt)
                 flush(into)
                 continue
-            block = node.tag in BLOCKS or node.odd == "drop"
+            block = node.tag in BLOCKS or node.odd not in ("", "header")
+            self._doubts[doubt].controls += node.tag in CONTROLS
             if block:
-                here = (path, state)
+                here = (path, state, doubt)
                 flush(into)
                 if state != "drop":
                     # The header of an article is the one with its heading.
                     inner = node.odd == "drop" or node.odd == "header" and not (state == "main" and _has_heading(node))
                     state = "drop" if inner else "main" if node.tag in MAIN or state == "main" else state
+                    self._marked = self._marked or node.tag == "main"
+                    if node.odd in DOUBTS:
+                        self._doubts.append(Doubt(node.odd, doubt))
+                        doubt = len(self._doubts) - 1
                 children = into
                 if depth < DEPTH:
                     path = f"{path}/{node.tag}.{node.label}" if node.label else f"{path}/{node.tag}"
@@ -241,14 +326,14 @@ class Page:
                 children = into
                 if node.tag == "br":
                     text.append(" ")
-            link = link or node.tag == "a"
+            link = link or node.tag in LINKS
             depth += block
-            later = [("leave", None, path, state, children, False, depth)] if block else []
+            later = [("leave", None, path, state, children, False, depth, doubt)] if block else []
             for child in reversed(node.children):
                 # Text of a block's own, between its blocks, is flushed where they begin.
-                later.append(("text" if isinstance(child, str) else "enter", child, path, state, children, link, depth))
+                later.append(("text" if isinstance(child, str) else "enter", child, path, state, children, link, depth, doubt))
             todo += later
-        here = ("", "")
+        here = ("", "", 0)
         flush(top[1])
         return ("", top[1])
 
@@ -346,10 +431,33 @@ def _wanted(page: Page) -> list[list]:
     return [b for b in page.blocks if b[2] == wanted]
 
 
-def _in_menu(block: list) -> bool:
+def _in_list(block: list) -> bool:
     return block[3] >= len(block[1]) and block[0].rpartition("/")[2].startswith("li")
 
 
+def _menus(page: Page, blocks: list[list]) -> list[int]:
+    """Per block the number of the list of links it is in, or 0.
+
+    Lists in a marked main part are content, and so are those that follow more text
+    in the same element than they have themselves.
+    """
+    if page.has_main:
+        return [0] * len(blocks)
+    out, sizes = [], Counter()
+    for b in blocks:
+        if _in_list(b):
+            sizes[b[0]] += len(b[1])
+    before: Counter = Counter()
+    for b in blocks:
+        outer = b[0].rpartition("/")[0]
+        if _in_list(b):
+            out.append(0 if before[outer.rpartition("/")[0]] > sizes[b[0]] else zlib.crc32(b[0].encode()) + 1)
+        else:
+            out.append(0)
+            before[outer] += len(b[1]) - b[3]
+    return out
+
+
 def _joined(blocks: list[tuple[int, str]]) -> str:
     """Texts one a line, without lists of links outside any marked menu; a block has the number of its list or 0."""
     menus = Counter(m for m, _ in blocks if m)
@@ -358,8 +466,8 @@ def _joined(blocks: list[tuple[int, str]]) -> str:
 
 def main_text(page: Page, constant: frozenset[int] | set[int] = frozenset()) -> str:
     """Blocks of the page's slots, one a line."""
-    kept = [b for b in _wanted(page) if not (constant and text_key(b) in constant)]
-    return _joined([(0 if page.has_main or not _in_menu(b) else zlib.crc32(b[0].encode()) + 1, b[1]) for b in kept])
+    wanted = _wanted(page)
+    return _joined([(m, b[1]) for m, b in zip(_menus(page, wanted), wanted, strict=True) if not (constant and text_key(b) in constant)])
 
 
 def _content_key(block: list) -> int:
@@ -396,7 +504,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html in batch.column("html"):
             page = Page(html.as_py())
             kept = _wanted(page)
-            menus = [0 if page.has_main or not _in_menu(b) else zlib.crc32(b[0].encode()) + 1 for b in kept]
+            menus = _menus(page, kept)
             rows.append(([*map(_signed, shapes(page))], [_signed(text_key(b)) for b in kept], [_signed(_content_key(b)) for b in kept], menus, [b[1] for b in kept]))
         columns = list(zip(*rows, strict=True)) or [()] * len(_PARSED)
         arrays = [pa.array(c, f.type) for c, f in zip(columns, _PARSED, strict=True)]

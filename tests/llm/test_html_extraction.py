@@ -38,6 +38,41 @@ def test_markup_of_all_kinds(page, want):
     assert text(page) == want
 
 
+STORY = "<p>" + "A sentence of some length about the matter at hand. " * 4 + "</p>"
+SAID = " ".join(("A sentence of some length about the matter at hand. " * 4).split())
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        # Forms around a whole page, and forms to fill in.
+        ("<body><form action=x><input type=hidden><div><h1>Head</h1><p>Text of the page.</p></div></form></body>", "Head\nText of the page."),
+        ("<form><nav>Menu</nav><h1>Head</h1><div class='share-buttons'><a>Like</a></div><p>Text</p><p>More</p><label>Find</label></form>", "Head\nText\nMore\nFind"),
+        ("<h1>Contact</h1><form><p>We answer all letters within a day or two.</p><label>Name</label><label>Mail</label><button>Go</button></form>", "Contact"),
+        ("<p>Story of the day.</p><form><p>Mail</p></form>", "Story of the day."),
+        # Words that name subjects.
+        ("<div class='post social-policy'><p>On pensions.</p></div>", "On pensions."),
+        ("<main><p>Intro</p><div class='related work'><p>Others did so before.</p></div></main>", "Intro\nOthers did so before."),
+        ("<main><p>Intro of some words</p><section id='share-prices'><h2>Prices</h2><p>They fell.</p></section></main>", "Intro of some words\nPrices\nThey fell."),
+        (f"<article><p>Intro</p><div class=related>{STORY}</div></article>", f"Intro\n{SAID}"),
+        ("<article><p>Intro of some words</p><div class='related-posts'><ul><li><a>One</a><li><a>Two</a></ul></div></article>", "Intro of some words"),
+        ("<article><p>Intro of some words</p><div class='social-links'><p>Follow us</p></div></article>", "Intro of some words"),
+        (f"<article><p>Intro</p><div class='related comments'>{STORY}</div></article>", "Intro"),
+        (f"<article><p>Intro</p><div class=ad>{STORY}</div></article>", "Intro"),
+        # Lists of links at a text's end, and menus.
+        ("<div><p>Sources of the text above are these three.</p><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul></div>", "Sources of the text above are these three.\nOne\nTwo\nThree"),
+        ("<div><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul></div><div><p>Text</p></div>", "Text"),
+        ("<div><p>Text</p></div><div><ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul></div>", "Text"),
+        # A teaser beside the text, and a short article beside short texts.
+        (f"<article><p>Read this too</p></article><div class=content><h1>Head</h1>{STORY}</div>", f"Read this too\nHead\n{SAID}"),
+        ("<article><p>Short story</p></article><div><p>Made with care in our own kitchen</p></div>", "Short story"),
+        (f"<main><p>Short story</p></main><div>{STORY}</div>", "Short story"),
+    ],
+)
+def test_words_and_forms_are_evidence_only(page, want):
+    assert text(page) == want
+
+
 def test_deep_nesting_and_very_long_pages():
     assert text("<div>" * 20_000 + "x" + "</div>" * 20_000 + "<p>y") == "x\ny"
     long = "".join(f"<p>paragraph {k}</p>" for k in range(20_000))
