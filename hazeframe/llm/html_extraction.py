@@ -1,14 +1,18 @@
 """Main text of HTML pages by wrapper induction.
 
-Pages of a host are made by the same templates.  Two DOM trees are aligned by the
-places of their blocks: the labels from the root, as simple tree matching does, which
-aligns blocks only if their parents are.  A text that most pages have at the same place
-belongs to the template, those that vary are slots, and the slots' text is content,
-unless the markup itself says that they are menus, adverts, forms, notices, comments
-and the like.  A form, or a word that may as well name a subject ("related work"), is no
-proof: such a container's text, links and controls are weighed against it, and so is a
-short article against much more text beside it.  Every page is aligned with every other one, as all their places and
-texts are counted; no page is a pivot.
+Pages of a host are made by the same templates.  Their DOM trees are aligned by simple
+tree matching: texts match if they are equal, elements if texts below them do, and
+matched children keep their order.  A text that most pages keep in place belongs to
+the template, those that vary are slots, and the slots' text is content, unless the
+markup itself says that they are menus, adverts, forms, notices, comments and the like.
+A form, or a word that may as well name a subject ("related work"), is no proof: such a
+container's text, links and controls are weighed against it, and so is a short article
+against much more text beside it.
+
+Only texts that recur at one path can be constant, so counting these first leaves small
+trees to match.  For each such text some of the pages with most of them are pivots, and
+every page is matched with all pivots of its group; a pivot's tree has the texts it was
+chosen for, so the pivots of a group are together ``PIVOTS`` times its recurring texts.
 
 A host may have several templates, so votes are counted in groups: all its pages, those
 of one frame (the outer elements) and those of one shape (all that structure the page).
@@ -43,8 +47,8 @@ LEAST_VOTES = 3
 CONSTANT = 0.6
 # Share of a group's pages that have a text which says nothing of what they are about.
 RECURS = 0.1
-# Share of a page's text in common with another from which the two alone count as copies.
-COPY = 0.5
+# Pages that are pivots for a text, so that no page in disorder decides alone.
+PIVOTS = 3
 # Bytes of templates that may be broadcast.
 BROADCAST_BYTES = 8 << 20
 
@@ -87,8 +91,6 @@ PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd td".split())
 P, NOT_P = frozenset(["p"]), BLOCKS - {"p"}
 # Blocks nested deeper belong to the block at this depth.
 DEPTH = 150
-# Pairs of children beyond which only those with texts of the other side are aligned.
-PAIRS = 40_000
 
 _TAG = re.compile(
     r"""<(?:!--.*?(?:--!?>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)""", re.S
@@ -337,74 +339,122 @@ class Page:
         flush(top[1])
         return ("", top[1])
 
-    def chars(self) -> int:
-        return sum(len(b[1]) for b in self.blocks)
+    def nesting(self) -> list[tuple[int, int]]:
+        """Per block how many elements of the tree it is in, and how many of them the block before is in too."""
+        out, common = [], 0
+        todo: list[tuple] = [(child, 0) for child in reversed(self.tree[1])]
+        while todo:
+            one, depth = todo.pop()
+            if one is None:
+                common = min(common, depth - 1)
+            elif isinstance(one, int):
+                out.append((depth, common))
+                common = depth
+            else:
+                todo.append((None, depth + 1))
+                todo += [(child, depth + 1) for child in reversed(one[1])]
+        return out
+
+
+def prune(nesting: list[tuple[int, int]], wanted: list[bool]) -> list[tuple[int, int]]:
+    """The nesting of the wanted blocks alone."""
+    out, common = [], 0
+    for (depth, shared), keep in zip(nesting, wanted, strict=True):
+        common = min(common, shared)
+        if keep:
+            out.append((depth, common))
+            common = depth
+    return out
 
 
-def match(a: tuple, b: tuple, page: Page, pivot: Page) -> list[tuple[int, int]]:
-    """Simple tree matching: block numbers of ``page`` and ``pivot`` that are aligned.
+def tree_of(keys: list[int], nesting: list[tuple[int, int]]) -> list:
+    """Nested lists of keys."""
+    root: list = []
+    path = [root]
+    for key, (depth, common) in zip(keys, nesting, strict=True):
+        del path[common + 1 :]
+        while len(path) <= depth:
+            path[-1].append([])
+            path.append(path[-1][-1])
+        path[-1].append(key)
+    return root
+
 
-    Blocks match if their parents do; a pair of equal texts weighs twice.
+def _key_sets(tree: list) -> dict[int, set[int]]:
+    """Keys below each list, by its identity; children with no key that those before them lack are taken out."""
+    found: dict[int, set[int]] = {}
+    todo = [(tree, False)]
+    while todo:
+        one, done = todo.pop()
+        if not done:
+            todo.append((one, True))
+            todo += [(c, False) for c in one if isinstance(c, list)]
+            continue
+        have: set[int] = set()
+        kept = []
+        for c in one:
+            new = found[id(c)] if isinstance(c, list) else {c}
+            if not new <= have:
+                have |= new
+                kept.append(c)
+        one[:] = kept
+        found[id(one)] = have
+    return found
+
+
+def align(a: list, b: list) -> set[int]:
+    """Simple tree matching of two trees of text keys: the keys that are aligned.
+
+    Equal keys match, lists match if their parents do, and matched children are in the
+    same order on both sides; as many texts as can be are aligned.  Children are paired
+    through the keys they have in common, and the heaviest chain of pairs that rises on
+    both sides is found with a tree of prefix maxima.
     """
-    weights: dict[tuple[int, int], tuple] = {}
-    texts = {b[1] for b in pivot.blocks}
-
-    def children(x: tuple, y: tuple) -> list:
-        """Of very many children, those that hold a text of the pivot."""
-        if len(x[1]) * len(y[1]) <= PAIRS:
-            return x[1]
-        found = []
-        for c in x[1]:
-            alone = c if isinstance(c, int) else c[1][0] if len(c[1]) == 1 else c
-            if not isinstance(alone, int) or page.blocks[alone][1] in texts:
-                found.append(c)
-        return found
-
-    def pair(x, y) -> int:
-        if isinstance(x, int) or isinstance(y, int):
-            if isinstance(x, int) and isinstance(y, int):
-                return 2 if page.blocks[x][1] == pivot.blocks[y][1] else 1
-            return 0
-        return weigh(x, y) if x[0] == y[0] else 0
-
-    def weigh(x: tuple, y: tuple) -> int:
-        key = (id(x), id(y))
-        if key not in weights:
-            rows, last = [], [0] * (len(y[1]) + 1)
-            inner = children(x, y)
-            for c in inner:
-                row, each = [0], []
-                for j, d in enumerate(y[1]):
-                    w = pair(c, d)
-                    each.append(w)
-                    row.append(max(row[j], last[j + 1], last[j] + w if w else 0))
-                rows.append((last, each))
-                last = row
-            weights[key] = (last[-1] + 1, rows, last, inner)
-        return weights[key][0]
-
-    found: list[tuple[int, int]] = []
-    weigh(a, b)
-    todo = [(a, b)]
+    sets = {**_key_sets(a), **_key_sets(b)}
+
+    def solve(x: list, y: list) -> tuple[int, tuple | None]:
+        where: dict[int, list[int]] = {}
+        for j, d in enumerate(y):
+            for k in sets[id(d)] if isinstance(d, list) else (d,):
+                where.setdefault(k, []).append(j)
+        best: list[tuple[int, tuple | None]] = [(0, None)] * (len(y) + 1)
+
+        def upto(j: int) -> tuple[int, tuple | None]:
+            top = best[0]
+            while j > 0:
+                top = max(top, best[j], key=_weight)
+                j &= j - 1
+            return top
+
+        for c in x:
+            deep = isinstance(c, list)
+            found = []
+            for j in sorted({j for k in (sets[id(c)] if deep else (c,)) for j in where.get(k, ())}):
+                if isinstance(y[j], list) == deep:
+                    weight, inner = solve(c, y[j]) if deep else (1, (None, c))
+                    before, link = upto(j)
+                    found.append((j + 1, (before + weight, (link, inner))))
+            for j, value in found:
+                while j <= len(y):
+                    best[j] = max(best[j], value, key=_weight)
+                    j += j & -j
+        return upto(len(y))
+
+    aligned, todo = set(), [solve(a, b)[1]]
     while todo:
-        x, y = todo.pop()
-        _, rows, last, inner = weights[id(x), id(y)]
-        i, j = len(inner), len(y[1])
-        while i and j:
-            before, each = rows[i - 1]
-            w = each[j - 1]
-            if w and last[j] == before[j - 1] + w:
-                c, d = inner[i - 1], y[1][j - 1]
-                if isinstance(c, int):
-                    found.append((c, d))
-                else:
-                    todo.append((c, d))
-                i, j, last = i - 1, j - 1, before
-            elif last[j] == before[j]:
-                i, last = i - 1, before
+        one = todo.pop()
+        if one is not None:
+            link, inner = one
+            todo.append(link)
+            if isinstance(inner, int):
+                aligned.add(inner)
             else:
-                j -= 1
-    return sorted(found)
+                todo.append(inner)
+    return aligned
+
+
+def _weight(one: tuple) -> int:
+    return one[0]
 
 
 def text_key(block: list) -> int:
@@ -413,18 +463,6 @@ def text_key(block: list) -> int:
     return zlib.crc32(data) << 32 | zlib.crc32(data[::-1], 0x9E3779B9)
 
 
-def votes(page: Page, pivot: Page) -> set[int] | None:
-    """Keys of the pivot's blocks that the page keeps; None if the page is a copy.
-
-    Two pages alone; over a host, ``induce`` counts what all pairs keep.
-    """
-    same = [j for i, j in match(page.tree, pivot.tree, page, pivot) if page.blocks[i][1] == pivot.blocks[j][1]]
-    shared = sum(len(pivot.blocks[j][1]) for j in same)
-    if shared > COPY * max(1, min(page.chars(), pivot.chars())):
-        return None
-    return {text_key(pivot.blocks[j]) for j in same}
-
-
 def _wanted(page: Page) -> list[list]:
     """Blocks that the markup keeps: those of the main part, if there is one."""
     wanted = "main" if page.has_main else ""
@@ -489,8 +527,11 @@ def shapes(page: Page) -> tuple[int, int]:
 
 _NUMBER = re.compile(r"\d+")
 _LETTER = re.compile(r"[^\W\d_]")
-_PARSED = pa.schema([("shapes", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("contents", pa.list_(pa.int64())), ("menus", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))])
-_PARSED_SQL = "shapes array<long>, keys array<long>, contents array<long>, menus array<long>, texts array<string>"
+_LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
+_PARSED = pa.schema(
+    [("shapes", _LONGS), ("keys", _LONGS), ("contents", _LONGS), ("menus", _LONGS), ("texts", pa.list_(pa.string())), ("depths", _INTS), ("common", _INTS)]
+)
+_PARSED_SQL = "shapes array<long>, keys array<long>, contents array<long>, menus array<long>, texts array<string>, depths array<int>, common array<int>"
 
 
 def _signed(key: int) -> int:
@@ -505,24 +546,50 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = Page(html.as_py())
             kept = _wanted(page)
             menus = _menus(page, kept)
-            rows.append(([*map(_signed, shapes(page))], [_signed(text_key(b)) for b in kept], [_signed(_content_key(b)) for b in kept], menus, [b[1] for b in kept]))
+            main = "main" if page.has_main else ""
+            nesting = prune(page.nesting(), [b[2] == main for b in page.blocks])
+            keys, contents = [_signed(text_key(b)) for b in kept], [_signed(_content_key(b)) for b in kept]
+            rows.append(([*map(_signed, shapes(page))], keys, contents, menus, [b[1] for b in kept], [d for d, _ in nesting], [c for _, c in nesting]))
         columns = list(zip(*rows, strict=True)) or [()] * len(_PARSED)
         arrays = [pa.array(c, f.type) for c, f in zip(columns, _PARSED, strict=True)]
         yield pa.record_batch([*(batch.column(c) for c in ("page_id", "url", "host")), *arrays], names=["page_id", "url", "host", *_PARSED.names])
 
 
+def _only(keys: list[int], depths: list[int], common: list[int], wanted: set[int]) -> tuple[list[int], list[tuple[int, int]]]:
+    """Those of a page's keys that are wanted, and their nesting."""
+    here = [k in wanted for k in keys]
+    return [k for k, keep in zip(keys, here, strict=True) if keep], prune(list(zip(depths, common, strict=True)), here)
+
+
+def _pivot_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pivots with the texts alone that they were chosen for."""
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("keys", "depths", "common", "chosen")]
+        rows = [_only(keys, depths, common, set(chosen)) for keys, depths, common, chosen in zip(*columns, strict=True)]
+        parts = [[k for k, _ in rows], [[d for d, _ in n] for _, n in rows], [[c for _, c in n] for _, n in rows]]
+        arrays = [pa.array(part, kind) for part, kind in zip(parts, (_LONGS, _INTS, _INTS), strict=True)]
+        yield pa.record_batch([batch.column("group"), *arrays], names=["group", "keys", "depths", "common"])
+
+
 def _votes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a page keeps of the texts that recur in a group, and a hash of its content outside them."""
+    """What a page keeps in place of its group's pivots, and a hash of its content outside texts that recur."""
     for batch in batches:
         own, shared = [], []
-        for keys, contents, recurring in zip(*(batch.column(c).to_pylist() for c in ("keys", "contents", "recurring")), strict=True):
-            recurring = set(recurring or ())
+        for keys, contents, depths, common, recurring, pivots in zip(
+            *(batch.column(c).to_pylist() for c in ("keys", "contents", "depths", "common", "recurring", "pivots")), strict=True
+        ):
+            recurring = set(recurring)
             left = sorted({c for k, c in zip(keys, contents, strict=True) if c and k not in recurring})
             data = ",".join(map(str, left)).encode()
             own.append(_signed(zlib.crc32(data) << 32 | zlib.crc32(data[::-1], 0x9E3779B9)))
+            aligned: set[int] = set()
+            for pivot in pivots:
+                here = _only(keys, depths, common, set(pivot["keys"]))
+                if here[0]:
+                    aligned |= align(tree_of(*here), tree_of(pivot["keys"], list(zip(pivot["depths"], pivot["common"], strict=True))))
             # The key 0 counts the pages that vote.
-            shared.append([0, *recurring.intersection(keys)])
-        yield pa.record_batch([batch.column("group"), pa.array(own, pa.int64()), pa.array(shared, pa.list_(pa.int64()))], names=["group", "own", "shared"])
+            shared.append([0, *aligned])
+        yield pa.record_batch([batch.column("group"), pa.array(own, pa.int64()), pa.array(shared, _LONGS)], names=["group", "own", "shared"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -557,22 +624,34 @@ def _groups(parsed: DataFrame) -> DataFrame:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """``shape``, ``constant``: hashes of the template's blocks.  ``pages`` has ``groups``, ``keys`` and ``contents``.
+    """``shape``, ``constant``: hashes of the template's blocks.  ``pages`` has ``groups``, ``keys``, ``contents``, ``depths`` and ``common``.
 
     ``shape`` is the last of a page's groups, which the others follow from.
     """
-    sets = pages.where("groups IS NOT NULL").select("groups", F.array_sort("keys").alias("sorted"), "keys", "contents")
+    sets = pages.where("groups IS NOT NULL").select("groups", F.array_sort("keys").alias("sorted"), "keys", "contents", "depths", "common")
     # Pages that are equal are one.
-    known = sets.groupBy("groups", F.xxhash64("sorted").alias("page")).agg(F.first(F.struct("keys", "contents")).alias("one"))
-    known = common.store(known.select("groups", "one.*"), "page-keys")
+    known = sets.groupBy("groups", F.xxhash64("sorted").alias("page")).agg(F.min(F.struct("keys", "contents", "depths", "common")).alias("one"))
+    known = common.store(known.select("groups", "page", "one.*"), "page-keys")
     counted = known.select(F.explode("groups").alias("group"), F.concat(F.array(F.lit(0).cast("long")), F.array_distinct("keys")).alias("keys"))
     counted = common.store(counted.select("group", F.explode("keys").alias("key")).groupBy("group", "key").agg(F.count("*").alias("pages")), "counts")
     sizes = counted.where(f"key = 0 AND pages >= {LEAST_VOTES}").select("group", F.col("pages").alias("size"))
     often = counted.where(f"key != 0 AND pages >= {LEAST_VOTES}").join(sizes, "group").where(F.col("pages") >= F.col("size") * RECURS)
     # At most 1 / RECURS times the blocks of a page, on average.
     often = common.store(often.groupBy("group").agg(F.collect_list("key").alias("recurring")), "recurring")
-    voting = known.select(F.explode("groups").alias("group"), "keys", "contents").join(_small(often), "group")
-    voting = voting.select("group", "keys", "contents", "recurring").mapInArrow(_votes_of, "group long, own long, shared array<long>")
+    # The pivots of a text are pages that have most of the texts that recur.
+    having = known.select(F.explode("groups").alias("group"), "page", "keys").join(_small(often), "group")
+    having = having.select("group", "page", F.array_intersect("keys", "recurring").alias("keys")).where(F.size("keys") > 0)
+    having = having.select("group", F.size("keys").alias("n"), "page", F.explode("keys").alias("key"))
+    most = [F.max(F.struct("n", F.xxhash64("page", F.lit(k)), "page"))["page"] for k in range(PIVOTS)]
+    chosen = having.groupBy("group", "key").agg(F.array_distinct(F.array(*most)).alias("pages"))
+    chosen = chosen.select("group", "key", F.explode("pages").alias("page")).groupBy("group", "page").agg(F.collect_list("key").alias("chosen"))
+    chosen = common.store(chosen, "chosen")
+    pivots = known.select(F.explode("groups").alias("group"), "page", "keys", "depths", "common").join(_small(chosen), ["group", "page"])
+    pivots = pivots.select("group", "keys", "depths", "common", "chosen").mapInArrow(_pivot_of, "group long, keys array<long>, depths array<int>, common array<int>")
+    pivots = pivots.groupBy("group").agg(F.collect_list(F.struct("keys", "depths", "common")).alias("pivots"))
+    aligning = common.store(often.join(pivots, "group"), "pivots")
+    voting = known.select(F.explode("groups").alias("group"), "keys", "contents", "depths", "common").join(_small(aligning), "group")
+    voting = voting.select("group", "keys", "contents", "depths", "common", "recurring", "pivots").mapInArrow(_votes_of, "group long, own long, shared array<long>")
     votes = voting.select("group", "own", F.explode("shared").alias("key")).distinct().groupBy("group", "key").agg(F.count("*").alias("votes"))
     votes = common.store(votes, "votes")
     voters = votes.where("key = 0").select("group", F.col("votes").alias("voters"))

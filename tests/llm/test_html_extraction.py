@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from hazeframe.llm.html_extraction import Page, extract_text, main_text, match, parse, votes
+from hazeframe.llm.html_extraction import Page, align, extract_text, main_text, parse, prune, text_key, tree_of
 
 
 def text(page):
@@ -77,46 +77,107 @@ def test_deep_nesting_and_very_long_pages():
     assert text("<div>" * 20_000 + "x" + "</div>" * 20_000 + "<p>y") == "x\ny"
     long = "".join(f"<p>paragraph {k}</p>" for k in range(20_000))
     assert text(long).count("\n") == 19_999
-    small = Page("".join(f"<p>paragraph {7 * k}</p>" for k in range(50)) + "<p>own</p>")
-    assert len(match(Page(long).tree, small.tree, Page(long), small)) >= 50
+    assert align(list(range(20_000)), list(range(0, 40_000, 7))) == set(range(0, 20_000, 7))
+    assert len(align([k // 2 for k in range(20_000)], [[[1, 2]], 5, [6]] * 10_000)) == 1
 
 
-def test_simple_tree_matching_equals_the_plain_recursion():
-    def plain(a, b, p, q):
-        if isinstance(a, int) or isinstance(b, int):
-            return (2 if p.blocks[a][1] == q.blocks[b][1] else 1) if isinstance(a, int) and isinstance(b, int) else 0
-        if a[0] != b[0]:
-            return 0
-        m = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
-        for i, x in enumerate(a[1]):
-            for j, y in enumerate(b[1]):
-                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + plain(x, y, p, q))
-        return m[-1][-1] + 1
-
-    def weight(pairs, a, b, p, q):
-        # Aligned elements: those above aligned blocks, and others that the recursion pairs.
-        return sum(2 if p.blocks[i][1] == q.blocks[j][1] else 1 for i, j in pairs)
+def keyed(page):
+    return tree_of([text_key(b) for b in page.blocks], page.nesting())
 
-    rng = random.Random(2)
 
-    def page(depth=0):
-        if depth > 2 or rng.random() < 0.3:
-            return f"<p>{rng.choice('abc')}</p>"
-        return f"<div class={rng.choice('xy')}>" + "".join(page(depth + 1) for _ in range(rng.randint(0, 4))) + "</div>"
+def test_nesting_gives_the_tree_back():
+    def plain(tree, page):
+        return [text_key(page.blocks[c]) if isinstance(c, int) else plain(c, page) for c in tree[1] if isinstance(c, int) or holds(c)]
+
+    def holds(tree):
+        return any(isinstance(c, int) or holds(c) for c in tree[1])
+
+    rng = random.Random(8)
+
+    def markup(depth=0):
+        if depth > 4 or rng.random() < 0.3:
+            return f"<p>{rng.choice('abc')}</p>" * rng.randint(0, 2)
+        return "<div>" + "".join(markup(depth + 1) for _ in range(rng.randint(0, 3))) + "</div>"
+
+    def only(tree, wanted):
+        out = [c if isinstance(c, int) else only(c, wanted) for c in tree if isinstance(c, list) or c in wanted]
+        return [c for c in out if c != []]
 
-    for _ in range(60):
-        p, q = Page(page() + page()), Page(page() + page())
-        pairs = match(p.tree, q.tree, p, q)
-        assert len({i for i, _ in pairs}) == len({j for _, j in pairs}) == len(pairs)
-        assert weight(pairs, p.tree, q.tree, p, q) <= plain(p.tree, q.tree, p, q)
-        same = match(p.tree, p.tree, p, p)
-        assert same == [(i, i) for i in range(len(p.blocks))]
+    for _ in range(100):
+        page = Page("x" + markup() + markup())
+        numbers = list(range(len(page.blocks)))
+        assert keyed(page) == plain(page.tree, page)
+        some = set(rng.sample(numbers, len(numbers) // 2))
+        assert tree_of([n for n in numbers if n in some], prune(page.nesting(), [n in some for n in numbers])) == only(tree_of(numbers, page.nesting()), some)
 
 
-def test_copies_have_no_vote():
-    body = "<p>" + "long text " * 30 + "</p>"
-    assert votes(Page(body + "<p>a</p>"), Page(body + "<p>b</p>")) is None
-    assert len(votes(Page("<p>one of its own</p><p>Like us</p>"), Page("<p>the other text</p><p>Like us</p>"))) == 1
+def test_simple_tree_matching_equals_the_plain_recursion():
+    def plain(x, y):
+        if isinstance(x, int) or isinstance(y, int):
+            return int(x == y)
+        m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, c in enumerate(x):
+            for j, d in enumerate(y):
+                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + plain(c, d))
+        return m[-1][-1]
+
+    rng = random.Random(2)
+    for _ in range(300):
+        # Every key once on a side, so that aligned keys are as many as aligned texts.
+        def tree(keys, depth=0):
+            out = []
+            while keys:
+                n = rng.randint(1, len(keys))
+                out.append(tree(keys[:n], depth + 1) if rng.random() < 0.5 and depth < 3 else keys[0])
+                keys = keys[n:] if isinstance(out[-1], list) else keys[1:]
+            return out
+
+        a, b = (tree(rng.sample(range(10), rng.randint(0, 10))) for _ in range(2))
+        want = plain(a, b)
+        assert len(align(a, b)) == want
+        assert align(a, a) == {k for k in range(10) if str(k) in str(a)}
+
+
+def test_pages_in_disorder_do_not_hide_a_template(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    rows = []
+    for number in range(8):
+        plate = [f"<p>{word()}</p>" for _ in range(6)]
+        for k in range(12):
+            texts = list(plate)
+            if k == 5:
+                rng.shuffle(texts)
+            rows.append((100 * number + k, f"http://h{number}.example/", f"<body><div>{texts[0]}<p>Story {word()} {word()}</p>{''.join(texts[1:])}</div></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert all(r["text"].startswith("Story ") and "\n" not in r["text"] for r in extract_text(df).collect())
+
+
+def test_repeated_texts_are_aligned_once_each():
+    # The second list adds no key to the first, which can match one of the two.
+    assert align([1, 1, [2, 3], [3, 2], 1], [1, [2], [3], 1]) in ({1, 2}, {1, 3})
+    assert align([], [1]) == align([1], [[1]]) == set()
+
+
+def test_templates_equal_alignment_of_all_pairs(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    rows, want = [], {}
+    for number in range(6):
+        plate = [word() + " " + word() for _ in range(5)]
+        pages = []
+        for k in range(8):
+            texts = [f"<p>{t}</p>" for t in plate if rng.random() < 0.75]
+            texts.insert(rng.randint(0, len(texts)), f"<p>{' '.join(word() for _ in range(20))}</p>")
+            pages.append(f"<body><div>{''.join(texts)}</div></body>")
+        parsed = [Page(p) for p in pages]
+        keeps = [set().union(*(align(keyed(p), keyed(q)) for q in parsed if q is not p)) for p in parsed]
+        constant = {k for k in set().union(*keeps) if sum(k in s for s in keeps) >= max(3, 0.6 * len(pages))}
+        for k, p in enumerate(pages):
+            rows.append((10 * number + k, f"http://h{number}.example/{k}", p))
+            want[10 * number + k] = main_text(parsed[k], constant)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r["page_id"]: r["text"] for r in extract_text(df).collect()} == want
 
 
 def host(n=12):
