@@ -1,7 +1,7 @@
 """Long repeated byte strings, found with run-compressed indexes.
 
 A window is a string of ``length`` bytes.  It is named after the least of the
-hashes of the ``GRAM``-byte strings in it, so equal windows have one name wherever
+hashes of the short strings in it (``gram_of`` bytes), so equal windows have one name wherever
 they stand.  Consecutive windows of one name are a region.
 
 1. Names are counted.  A name met once, at one place, has no repeat, and where all
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
+# Bytes of the strings that name windows, for windows of twice as many or more.
 GRAM = 40
 # Windows in a region; a longer run of one name is cut.
 PIECE = 256
@@ -46,6 +47,11 @@ _END = 0xFF  # in no UTF-8 text
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
+def gram_of(length: int) -> int:
+    """Bytes of the strings that name windows of ``length`` bytes."""
+    return max(1, min(GRAM, length // 2))
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` consecutive values."""
     size = 1
@@ -82,8 +88,9 @@ def _regions(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
     if len(data) < length:
         return none
     hashes = _Hashes(data)
-    grams = hashes.of(np.arange(len(data) - GRAM + 1), GRAM)
-    names = _least(grams, length - GRAM + 1)
+    gram = gram_of(length)
+    grams = hashes.of(np.arange(len(data) - gram + 1), gram)
+    names = _least(grams, length - gram + 1)
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(names)]
     whole = np.arange(len(names)) + length <= bounds[1:][rows]
     new = np.append(True, (names[1:] != names[:-1]) | (rows[1:] != rows[:-1]) | ~whole[:-1])
@@ -97,7 +104,7 @@ def _regions(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndar
     again = np.repeat(np.arange(len(firsts)), pieces)
     step = (np.arange(len(again)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * PIECE
     first, count = firsts[again] + step, np.minimum(counts[again] - step, PIECE)
-    inner = _named_often(grams, names, first, count, length - GRAM + 1)
+    inner = _named_often(grams, names, first, count, length - gram + 1)
     return rows[first], first, count, names[first], hashes.of(first, count + length - 1), inner
 
 
@@ -140,11 +147,12 @@ def _find_regions(length: int):
     return run
 
 
-def suffix_order(text: np.ndarray, rest: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order, each up to the end of its region, equal ones by place; and their classes at 128 bytes.
+def suffix_order(text: np.ndarray, rest: np.ndarray, depth: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order, each up to the end of its region, equal ones by place; and classes of their first bytes.
 
     ``rest`` has the bytes from each place to the end mark; no region has more than
-    ``depth``.  The second array numbers the suffixes' first 128 bytes, in text order.
+    ``depth``.  The second array numbers the suffixes' first bytes, in text order: as many
+    as the greatest power of two up to ``least``, none if that is below 8.
     """
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
@@ -156,11 +164,12 @@ def suffix_order(text: np.ndarray, rest: np.ndarray, depth: int) -> tuple[np.nda
     head = np.append(True, sorted_key[1:] != sorted_key[:-1])
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    at_128 = None
+    near = 1 << (least.bit_length() - 1)
+    classes = np.zeros(n, np.int64) if near < 8 else None
     size = 8
     while size <= depth:
-        if size == 128:
-            at_128 = rank.copy()
+        if size == near:
+            classes = rank.copy()
         # Only places whose class has others still have to be told apart.
         places = np.flatnonzero(~(head & np.append(head[1:], True)))
         if not len(places):
@@ -178,18 +187,18 @@ def suffix_order(text: np.ndarray, rest: np.ndarray, depth: int) -> tuple[np.nda
     places = np.flatnonzero(~(head & np.append(head[1:], True)))
     tied = order[places]
     order[places] = tied[np.argsort(rank[tied] * (n + 1) + tied)]
-    return order, rank if at_128 is None else at_128
+    return order, rank if classes is None else classes
 
 
-def matching_statistics(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each place, the longest string there that also starts at another place, if of 128 bytes or more (else less than that).
+def matching_statistics(text: np.ndarray, ends: np.ndarray, least: int = 128) -> np.ndarray:
+    """For each place, the longest string there that also starts at another place, if of ``least`` bytes or more (else less than that).
 
     ``text`` is a sequence of regions, each followed by one ``_END``; ``ends`` are the
     places of these.  Matches stay within regions.
     """
     n = len(text)
     rest = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
-    order, class_128 = suffix_order(text, rest, int(rest.max()) + 1)
+    order, classes = suffix_order(text, rest, int(rest.max()) + 1, least)
     before = text[order - 1]
     before[order == 0] = _END
     # Runs of the transform; a region's first place is always sampled.
@@ -201,7 +210,7 @@ def matching_statistics(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
         other = sampled + shift
         inside = (other >= 0) & (other < n)
         place, match = order[sampled[inside]], order[other[inside]]
-        near = class_128[place] == class_128[match]
+        near = classes[place] == classes[match]
         statistic = np.full(n, -1, np.int64)
         statistic[order[sampled]] = 0
         statistic[place[near]] = _common(text, rest, place[near], match[near])
@@ -236,7 +245,7 @@ def _index(length: int):
         pieces = [np.append(np.frombuffer(r[3], np.uint8), np.uint8(_END)) for r in rows]
         sizes = np.array([len(p) for p in pieces])
         ends = np.cumsum(sizes) - 1
-        long_ones = matching_statistics(np.concatenate(pieces), ends) >= length
+        long_ones = matching_statistics(np.concatenate(pieces), ends, length) >= length
         begin, stop = common.spans(long_ones, ends)
         row = np.searchsorted(ends, begin)
         offset = ends[row] - sizes[row] + 1
@@ -352,7 +361,10 @@ def remove_repeats(
     that repeat, with or without their id, are copies of each other and lose all
     that is long enough; a null id stays null.  Other columns are not looked at.
     An empty table gives no rows.  Texts and regions are told apart by 64-bit hashes.
+    Any ``length`` from 1 on will do; a smaller one is an error.
     """
+    if length < 1:
+        raise ValueError(f"length must be 1 or more, not {length}")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     runs = repeated_runs(rows, length, many).groupBy("text_key").agg(F.collect_list(F.struct("begin", "stop")).alias("runs"))

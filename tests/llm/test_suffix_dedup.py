@@ -43,13 +43,25 @@ def corpus(seed, n=40):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize(("seed", "many", "length"), [(1, 2000, 200), (2, 2, 200), (3, 2000, 201), (4, 0, 230)])
+@pytest.mark.parametrize(("seed", "many", "length"), [(1, 2000, 200), (2, 2, 200), (3, 2000, 201), (4, 0, 230), (5, 2000, 64), (6, 2, 127), (7, 2000, 79), (8, 2000, 17)])
 def test_equals_brute_force(spark, seed, many, length):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert sorted(map(tuple, remove_repeats(df, length, many).collect()), key=str) == expected(rows, length)
 
 
+@pytest.mark.parametrize("length", [1, 2, 5, 8, 9])
+def test_very_short_strings(spark, length):
+    rows = list(enumerate(["abcabd", "bd", "x", "", None, "abcdefghijklmnop", "zzefghijklmqq", "éé", "0123456789" * 2]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, remove_repeats(df, length).collect()), key=str) == expected(rows, length)
+
+
+def test_no_length_is_an_error(spark):
+    with pytest.raises(ValueError, match="length"):
+        remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 0)
+
+
 def test_very_long_text_over_several_blocks(spark):
     rng = random.Random(9)
     text = "".join(rng.choices("abcdefgh ", k=1_300_000))
@@ -61,17 +73,18 @@ def test_very_long_text_over_several_blocks(spark):
     assert got[2][1:4] == (751, 700, 1) and got[3][1:4] == (300, 300, 1)
 
 
-def test_matching_statistics_equal_brute_force():
+@pytest.mark.parametrize("least", [3, 8, 60, 128, 200])
+def test_matching_statistics_equal_brute_force(least):
     rng = random.Random(3)
     base = "".join(rng.choices("ab", k=400))
     regions = [base[:300], base[50:380], base[100:250] + "c" + base[251:400], "".join(rng.choices("ab", k=150)), "a" * 330, "a" * 200, base[100:300], "b" + base[150:300]]
     text = np.concatenate([np.append(np.frombuffer(r.encode(), np.uint8), np.uint8(_END)) for r in regions])
     ends = np.flatnonzero(text == _END)
-    got = matching_statistics(text, ends)
+    got = matching_statistics(text, ends, least)
     strings = [r[i:] for r in regions for i in range(len(r) + 1)]
     for k, one in enumerate(strings):
         best = max(next((i for i, (x, y) in enumerate(zip(one, s)) if x != y), min(len(one), len(s))) for j, s in enumerate(strings) if j != k)
-        assert got[k] == best if best >= 128 else got[k] < 128, k
+        assert got[k] == best if best >= least else got[k] < least, k
 
 
 def test_nulls_repeated_rows_clashing_columns_and_empty(spark):
