@@ -732,6 +732,25 @@ def _cv_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
 check("ml_cv", _cv, "SELECT 'Linear Regression' AS Model, CAST(1 AS DOUBLE) AS MeanR2, CAST(0 AS DOUBLE) AS StdR2")
 
 
+def _cv_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five folds, dealt by a hash of the row's key, of a line through the first lag."""
+    train, _, _ = _train_test(spark, sf_dir)
+    key = F.concat_ws("|", "StationId", F.date_format("Datetime", "yyyy-MM-dd HH"))
+    fold = F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int") % 5
+    scores = ml.cross_validate(ml.linear(["AQI_Lag1"]), train.withColumn("Fold", fold), ml.LINEAR)
+    return rounded(scores, 6, ["MeanR2", "StdR2"])
+
+
+check(
+    "ml_cv_lag", _cv_lag,
+    SPLIT + """, train AS MATERIALIZED (SELECT CAST(AQI_Final AS DOUBLE) AS y, CAST(AQI_Lag1 AS DOUBLE) AS x,
+      CAST('0x' || substr(md5(StationId || '|' || strftime(Datetime, '%Y-%m-%d %H')), 1, 4) AS INTEGER) % 5 AS Fold FROM cases CROSS JOIN cut WHERE Datetime < c),
+    fits AS (SELECT k, regr_slope(y, x) AS m, regr_intercept(y, x) AS b FROM train JOIN range(5) AS t(k) ON Fold <> k GROUP BY k),
+    scores AS (SELECT k, 1 - sum((y - m * x - b) ** 2) / (var_pop(y) * count(*)) AS r2 FROM train JOIN fits ON Fold = k GROUP BY k)
+    SELECT 'Linear Regression' AS Model, round(avg(r2), 6) AS MeanR2, round(stddev_pop(r2), 6) AS StdR2 FROM scores""",
+)
+
+
 def _request_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests scored by a linear model of the first lag and delta, which is their sum."""
     train, test, _ = _train_test(spark, sf_dir)

@@ -291,13 +291,13 @@ def _cross_validate(
         evaluator=RegressionEvaluator(labelCol=target, metricName=metric),
         numFolds=folds,
         foldCol="Fold",
-    ).fit(with_folds(train, folds))
+    ).fit(train if "Fold" in train.columns else with_folds(train, folds))
 
 
 def cross_validate(
     estimator: Estimator, train: DataFrame, name: str, folds: int = 5, target: str = TARGET
 ) -> DataFrame:
-    """Mean and standard deviation of R² over shuffled folds."""
+    """Mean and standard deviation of R² over shuffled folds, or those of a column ``Fold`` (0 on)."""
     model = _cross_validate(estimator, train, "r2", folds, target)
     row = (name, float(model.avgMetrics[0]), float(model.stdMetrics[0]))
     return train.sparkSession.createDataFrame([row], "Model string, MeanR2 double, StdR2 double")
