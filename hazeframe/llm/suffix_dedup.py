@@ -37,7 +37,7 @@ GRAM = 40
 # Windows in a region; a longer run of one name is cut.
 PIECE = 256
 # Bytes that are indexed at a time; a name's regions stay together.
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 18
 # Distinct regions of a name beyond which its windows are counted one by one.
 MANY = 2000
 # Bytes hashed at a time.
