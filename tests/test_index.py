@@ -129,3 +129,20 @@ def test_features(spark):
 def test_empty_in_empty_out(spark):
     empty = hours(spark, [1.0], State="Delhi").where("false")
     assert features.engineer(aqi.calculate(clean.impute(empty))).isEmpty()
+
+
+def test_a_sub_index_is_short_enough_for_the_compiler_and_equals_the_bands(spark):
+    from hazeframe.constants import BREAKPOINTS, EXPOSURES
+    from hazeframe.functions import index
+
+    for e in EXPOSURES:
+        bands = BREAKPOINTS[e.pollutant]
+        edges = [float(v) for b in bands for v in b[:2]]
+        values = [v + d for v in edges for d in (-1e-9, 0.0, 1e-9)] + [None, float("nan"), float("inf"), float("-inf"), -0.0, -1.0]
+        df = spark.createDataFrame([(v,) for v in values], f"{e.column} double")
+        old, new = index._sub_index_by_case(e.column, bands), index.sub_index(e.column, bands)
+        assert df.where(~old.eqNullSafe(new)).isEmpty()
+        assert "WHEN" not in str(new).split("THEN", 1)[1]
+    gap = [(0.0, 1.0, 0.0, 50.0), (2.0, 3.0, 51.0, 100.0)]
+    got = spark.createDataFrame([(v,) for v in (0.5, 1.5, 2.0, 4.0)], "x double").select(index.sub_index("x", gap).alias("i"))
+    assert [r["i"] for r in got.collect()] == [25.0, None, 51.0, 500.0]
