@@ -146,3 +146,33 @@ def test_a_sub_index_is_short_enough_for_the_compiler_and_equals_the_bands(spark
     gap = [(0.0, 1.0, 0.0, 50.0), (2.0, 3.0, 51.0, 100.0)]
     got = spark.createDataFrame([(v,) for v in (0.5, 1.5, 2.0, 4.0)], "x double").select(index.sub_index("x", gap).alias("i"))
     assert [r["i"] for r in got.collect()] == [25.0, None, 51.0, 500.0]
+
+
+def test_sub_indices_by_number_equal_the_bands(spark):
+    from hazeframe.constants import EXPOSURES
+
+    values = [v + d for bands in BREAKPOINTS.values() for b in bands for v in map(float, b[:2]) for d in (-1e-9, 0.0, 1e-9)]
+    values += [None, float("nan"), float("inf"), float("-inf"), -0.0, -1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(*[F.col("v").alias(e.column) for e in EXPOSURES])
+    got = aqi.sub_indices(df)
+    assert got.columns == [*df.columns, *[e.index for e in EXPOSURES]]
+    for e in EXPOSURES:
+        want = index._sub_index_by_case(e.column, BREAKPOINTS[e.pollutant])
+        assert got.where(~F.col(e.index).eqNullSafe(want)).isEmpty()
+
+
+def test_the_index_over_all_pollutants_makes_no_very_long_method(spark, capsys):
+    import re
+
+    from hazeframe.constants import EXPOSURES, INDEX_POLLUTANTS
+
+    values = [*INDEX_POLLUTANTS, "AQI"]
+    df = spark.createDataFrame([("S", T0, *map(float, range(len(values))))], f"StationId string, Datetime timestamp_ntz, {', '.join(f'{c} double' for c in values)}")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        aqi.calculate(df).select("StationId", "Datetime", "AQI_Final", *values, *[e.column for e in EXPOSURES]).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 15_000

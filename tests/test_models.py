@@ -69,3 +69,43 @@ def test_importances_equal_a_tree_grown_by_hand(spark):
     got = {r["Feature"]: r["Importance"] for r in ml.importance(model, spark, 3).collect()}
     want = _gains(x, y, 3)
     assert got == pytest.approx(dict(zip("abc", want / want.sum(), strict=True)), abs=1e-6)
+
+
+def test_cross_validation_fits_each_fold_and_assembles_once(spark, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rows = [(float(k % 7), float(k * k % 11), float(k % 7) * 3 + (k * 37 % 5), k * 13 % 4) for k in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, AQI_Final double, Fold int").repartition(3, "Fold").cache()
+    estimator = ml.boosted(["a", "b"], rounds=3, depth=2)
+    whole = CrossValidator(
+        estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), numFolds=4, foldCol="Fold",
+        evaluator=RegressionEvaluator(labelCol="AQI_Final", metricName="rmse"),
+    ).fit(df)
+    calls = {"fit": 0, "assemble": 0}
+
+    def counted(kind, method, name):
+        before = getattr(kind, method)
+
+        def after(self, *args):
+            calls[name] += 1
+            return before(self, *args)
+
+        monkeypatch.setattr(kind, method, after)
+
+    counted(GBTRegressor, "_fit", "fit")
+    counted(VectorAssembler, "_transform", "assemble")
+    row = ml.cross_validate_boosted(estimator, df, folds=4).first()
+    assert row["MeanRMSE"] == pytest.approx(whole.avgMetrics[0], rel=1e-12)
+    assert calls == {"fit": 4, "assemble": 1}
+
+
+def test_folds_out_of_range_and_empty_ones_are_refused(spark):
+    rows = [(float(k), float(k % 5), k % 3) for k in range(60)]
+    df = spark.createDataFrame(rows, "x double, y double, Fold int")
+    with pytest.raises(ValueError, match="fold 3 is empty"):
+        ml.cross_validate(ml.linear(["x"], "y"), df, "line", folds=4, target="y")
+    with pytest.raises(Exception, match="Fold number must be in range"):
+        ml.cross_validate(ml.linear(["x"], "y"), df, "line", folds=2, target="y")
